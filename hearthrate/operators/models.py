@@ -20,6 +20,7 @@ from hearthrate.functions.nulls import ratio
 from hearthrate.functions.pricing import CAPPED_CLIP
 from hearthrate.operators.quantiles import scalar_quantile
 from hearthrate.operators.residuals import dollar_metrics
+from hearthrate.session import settle
 
 # Model settings and search ranges.
 RIDGE_ALPHA = 10.0
@@ -95,7 +96,7 @@ def cross_validate(
         scored.append(model.transform(data.where(F.col(fold) == i)).select(fold, "label", "prediction"))
     metrics = dollar_metrics(reduce(DataFrame.unionByName, scored), clip=clip, groups=[fold])
     whole = data.agg(F.count(F.lit(1)))
-    return metrics.withColumn("n_train", whole.scalar() - F.col("n"))
+    return settle(metrics.withColumn("n_train", whole.scalar() - F.col("n")), data)
 
 
 def cross_validation_summary(folds: DataFrame, fold: str = "fold") -> DataFrame:
@@ -244,7 +245,7 @@ def learning_curve(
         )
         parts.append(row.withColumn("val_mae", unseen.select("mae").scalar()))
     curve = reduce(DataFrame.unionByName, parts)
-    return curve.withColumn("gap", F.col("val_mae") - F.col("train_mae"))
+    return settle(curve.withColumn("gap", F.col("val_mae") - F.col("train_mae")), data)
 
 
 def curve_verdict(curve: DataFrame) -> DataFrame:

@@ -59,6 +59,13 @@ def _brackets(values: DataFrame, keys: list[str], probs: Sequence[float]) -> Dat
     )
 
 
+def _brackets_below(value: Column, highs: Column, size: int) -> Column:
+    """How many brackets end below the value."""
+    if size <= 8:
+        return sum(((highs[i] < value).cast("int") for i in range(1, size)), (highs[0] < value).cast("int"))
+    return F.size(F.filter(highs, lambda high: high < value))
+
+
 def quantile_table(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], groups: Sequence[str] = ()
 ) -> DataFrame:
@@ -72,42 +79,46 @@ def quantile_table(
     values = melt_values(df, columns, groups)
     brackets = _brackets(values, keys, probs)
     small = fetch_small(brackets)
-    with_edges = values.join(F.broadcast(small), keys) if small is not None else values.join(brackets, keys)
+    side = F.broadcast(small) if small is not None else brackets
+    with_edges = values.join(side.select(*keys, "lows", "highs"), keys)
 
     # A value in a bracket stands for itself (gap 0). A value between brackets is
     # represented by the bracket edge below it (gap 1), or NULL below the first.
     v, lows, highs = F.col("v"), F.col("lows"), F.col("highs")
-    place, gap = F.when(v < lows[0], F.lit(None).cast("double")), F.when(v < lows[0], 1)
-    for i in range(len(probs)):
-        if i:
-            place, gap = place.when(v < lows[i], highs[i - 1]), gap.when(v < lows[i], 1)
-        place, gap = place.when(v <= highs[i], v), gap.when(v <= highs[i], 0)
-    place, gap = place.otherwise(highs[len(probs) - 1]), gap.otherwise(1)
-
+    placed = with_edges.withColumn("passed", _brackets_below(v, highs, len(probs)))
+    passed = F.col("passed")
+    inside = (passed < len(probs)) & (v >= F.get(lows, passed))
     counted = (
-        with_edges.select(*keys, "rows", place.alias("place"), gap.alias("gap"))
-        .groupBy(*keys, "rows", "place", "gap")
+        placed.select(
+            *keys,
+            F.when(inside, v).otherwise(F.get(highs, passed - 1)).alias("place"),
+            F.when(inside, 0).otherwise(1).alias("gap"),
+        )
+        .groupBy(*keys, "place", "gap")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     along = Window.partitionBy(*keys).orderBy(F.col("place").asc_nulls_first(), "gap")
     reached = counted.withColumn("reached", F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)))
 
-    spot = F.struct("place", "gap")
-    picks = []
-    for i, prob in enumerate(probs):
-        rank = (F.col("rows") - 1) * F.lit(float(prob))
-        picks.append(F.min(F.when(F.col("reached") > F.floor(rank), spot)).alias(f"below{i}"))
-        picks.append(F.min(F.when(F.col("reached") > F.ceil(rank), spot)).alias(f"above{i}"))
-    found = reached.groupBy(*keys, "rows").agg(*picks)
-
-    def exact(name: str) -> Column:
-        miss = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
-        return F.when(F.col(f"{name}.gap") == 0, F.col(f"{name}.place")).otherwise(miss)
-
+    # Each counted value answers the wanted ranks it covers: at most two per quantile and group.
+    ranks = [(F.col("rows") - 1) * F.lit(float(p)) for p in probs]
+    wanted = F.array(*[
+        F.struct(F.lit(2 * i + up).alias("slot"), (F.ceil(rank) if up else F.floor(rank)).alias("rank"))
+        for i, rank in enumerate(ranks) for up in (0, 1)
+    ])
+    first, last = F.col("reached") - F.col("n"), F.col("reached")
+    hits = (
+        reached.join(side.select(*keys, "rows"), keys)
+        .withColumn("hit", F.explode(F.filter(wanted, lambda w: (w["rank"] >= first) & (w["rank"] < last))))
+    )
+    miss = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
+    value = F.when(F.col("gap") == 0, F.col("place")).otherwise(miss)
+    found = hits.groupBy(*keys, "rows").agg(
+        F.array_sort(F.collect_list(F.struct("hit.slot", value.alias("value")))).alias("found")
+    )
     answers = []
-    for i, prob in enumerate(probs):
-        rank = (F.col("rows") - 1) * F.lit(float(prob))
-        low, high = exact(f"below{i}"), exact(f"above{i}")
+    for i, rank in enumerate(ranks):
+        low, high = F.col("found")[2 * i]["value"], F.col("found")[2 * i + 1]["value"]
         answers.append(low + (high - low) * (rank - F.floor(rank)))
     return found.select(*keys, "rows", F.array(*answers).alias("q"))
 

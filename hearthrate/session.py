@@ -48,6 +48,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/hearthrate-{label}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, *cached: DataFrame) -> DataFrame:
+    """Compute a small result now and release the tables cached for it."""
+    rows = df.toArrow()
+    for table in cached:
+        table.unpersist()
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder and forget its plan."""
     context = df.sparkSession.sparkContext

@@ -8,13 +8,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthrate.operators import attribution as A
 from hearthrate.operators.models import boosted
-from suite.modelling import FEATURES, line_table, vectors
+from hearthrate.session import settle
+from suite.modelling import FEATURES, KEY_SQL, line_table, vectors
 from suite.registry import query, rounded, table
 
 WEIGHTS = {"l_quantity": 0.012, "l_discount": -1.5, "l_tax": 2.0, "l_linenumber": 0.03}
 _MEANS = "m AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}" for c in FEATURES) + " FROM lineitem)"
 _PHI = {c: f"({w} * ({c} - m_{c}))" for c, w in WEIGHTS.items()}
-_ID = "l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR || '-' || l_partkey::VARCHAR"
+_ID = KEY_SQL
+# The SQL side numbers the rows, since two lines may share their key.
+_ROWS = f"WITH {_MEANS}, n AS (SELECT *, row_number() OVER () AS uid FROM lineitem), a AS (" + " UNION ALL ".join(
+    f"SELECT {_ID} AS id, uid, '{c}' AS feature, {p} AS v FROM n, m" for c, p in _PHI.items()
+) + ")"
 
 
 def linear_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -50,23 +55,17 @@ def attribution_summary(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(A.group_callout(summary, groups), "mean_abs", "share_pct")
 
 
-@query("row_top_k", "G10", f"""
-WITH {_MEANS}, a AS (""" + " UNION ALL ".join(
-    f"SELECT {_ID} AS id, l_orderkey, '{c}' AS feature, {p} AS v FROM lineitem, m" for c, p in _PHI.items()
-) + """)
-SELECT id, feature, round(v, 9) AS attribution, row_number() OVER (PARTITION BY id, l_orderkey ORDER BY abs(v) DESC, feature)::INTEGER AS rank
+@query("row_top_k", "G10", _ROWS + """
+SELECT id, feature, round(v, 9) AS attribution, row_number() OVER (PARTITION BY uid ORDER BY abs(v) DESC, feature)::INTEGER AS rank
 FROM a QUALIFY rank <= 2
 """)
 def row_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(A.row_contributions(linear_rows(spark, sf), "id", FEATURES, 2), "attribution", digits=9)
 
 
-@query("row_drivers", "G10", f"""
-WITH {_MEANS}, a AS (""" + " UNION ALL ".join(
-    f"SELECT {_ID} AS id, '{c}' AS feature, {p} AS v FROM lineitem, m" for c, p in _PHI.items()
-) + """)
-SELECT id, string_agg(feature || CASE WHEN v > 0 THEN ' (increases price)' ELSE ' (decreases price)' END, ', ' ORDER BY k) AS drivers
-FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY abs(v) DESC, feature) AS k FROM a) WHERE k <= 3 GROUP BY id
+@query("row_drivers", "G10", _ROWS + """
+SELECT any_value(id) AS id, string_agg(feature || CASE WHEN v > 0 THEN ' (increases price)' ELSE ' (decreases price)' END, ', ' ORDER BY k) AS drivers
+FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY abs(v) DESC, feature) AS k FROM a) WHERE k <= 3 GROUP BY uid
 """)
 def row_drivers(spark: SparkSession, sf: str) -> DataFrame:
     return A.driver_sentence(linear_rows(spark, sf), "id", FEATURES, 3)
@@ -90,7 +89,7 @@ def importance_stability(spark: SparkSession, sf: str) -> DataFrame:
         model = boosted(maxIter=3, maxDepth=3).setSeed(seed).fit(rows)
         summary = A.attribution_summary(A.tree_attribution(rows, "id", FEATURES, model), FEATURES)
         parts.append(summary.select(F.lit(seed).alias("seed"), "feature", "mean_abs"))
-    return A.importance_stability(reduce(DataFrame.unionByName, parts))
+    return settle(A.importance_stability(reduce(DataFrame.unionByName, parts)), rows)
 
 
 @query("importance_ranks", "G12 W5 U3 U4", """

@@ -112,9 +112,9 @@ def row_mean(spark: SparkSession, sf: str) -> DataFrame:
 @query("distance_to_point", "F11 F12", """
 WITH p AS (SELECT c_custkey, 47.0 + (c_custkey % 1000) / 1000.0 AS lat,
            CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE -122.0 - (c_custkey % 700) / 1000.0 END AS lon FROM customer)
-SELECT c_custkey, round(2 * 6371.0 * asin(least(1.0, sqrt(
+SELECT c_custkey, CASE WHEN lon IS NOT NULL THEN round(2 * 6371.0 * asin(least(1.0, sqrt(
     pow(sin(radians(47.6062 - lat) / 2), 2)
-    + cos(radians(lat)) * cos(radians(47.6062)) * pow(sin(radians(-122.3321 - lon) / 2), 2)))), 6) AS km
+    + cos(radians(lat)) * cos(radians(47.6062)) * pow(sin(radians(-122.3321 - lon) / 2), 2)))), 6) END AS km
 FROM p
 """)
 def distance_to_point(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,7 +138,7 @@ WITH d AS (SELECT lower({_OPENER_SQL} || text) AS about, lower(coalesce(source,
 f AS (SELECT """ + ", ".join(
     f"regexp_matches({'items' if n in wording.AMENITY_PATTERNS else 'about'}, '{p}')::INTEGER AS {n}" for n, p in _FLAGS.items()
 ) + " FROM d) " + " UNION ALL ".join(
-    f"SELECT '{n}' AS flag, sum({n})::BIGINT AS rows_set, sum({n}) * 100.0 / count(*) AS pct FROM f" for n in _FLAGS))
+    f"SELECT '{n}' AS flag, sum({n})::BIGINT AS rows_set, round(sum({n}) * 100.0 / count(*), 6) AS pct FROM f" for n in _FLAGS))
 def keyword_flags(spark: SparkSession, sf: str) -> DataFrame:
     opener = F.lit("")
     for i, text in enumerate(_OPENERS):
@@ -147,7 +147,7 @@ def keyword_flags(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(opener, "text").alias("description"),
         F.concat(F.coalesce("source", F.lit("")), F.lit(" "), opener).alias("amenities"),
     )
-    return flag_coverage(text_features(docs), list(_FLAGS))
+    return rounded(flag_coverage(text_features(docs), list(_FLAGS)), "pct")
 
 
 @query("log_price_scale", "F17", """
@@ -179,9 +179,9 @@ def _in(words) -> str:
 SENTIMENT_CTES = f"""
 lex(word, valence) AS (VALUES {", ".join(f"('{w}', {v}::DOUBLE)" for w, v in LEXICON)}),
 w0 AS (SELECT id, text, unnest(string_split_regex(text, '[ \\t\\n\\f\\r\\v]+')) AS raw,
-              generate_subscripts(string_split_regex(text, '[ \\t\\n\\f\\r\\v]+'), 1) AS at FROM texts),
-w1 AS (SELECT id, text, at, regexp_replace(regexp_replace(raw, '^[!-/:-@\\[-`{{-~]+', ''), '[!-/:-@\\[-`{{-~]+$', '') AS word FROM w0),
-w2 AS (SELECT id, word, row_number() OVER (PARTITION BY id ORDER BY at) AS i FROM w1 WHERE length(word) > 1),
+              generate_subscripts(string_split_regex(text, '[ \\t\\n\\f\\r\\v]+'), 1) AS pos FROM texts),
+w1 AS (SELECT id, text, pos, regexp_replace(regexp_replace(raw, '^[!-/:-@\\[-`{{-~]+', ''), '[!-/:-@\\[-`{{-~]+$', '') AS word FROM w0),
+w2 AS (SELECT id, word, row_number() OVER (PARTITION BY id ORDER BY pos) AS i FROM w1 WHERE length(word) > 1),
 w3 AS (SELECT *, lower(word) AS low, (upper(word) = word AND lower(word) <> word) AS shout,
     lag(word, 1) OVER o AS r1, lag(word, 2) OVER o AS r2, lag(word, 3) OVER o AS r3
   FROM w2 WINDOW o AS (PARTITION BY id ORDER BY i)),

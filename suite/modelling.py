@@ -9,12 +9,12 @@ from hearthrate.functions.pricing import WIDE_CLIP
 from hearthrate.operators import models
 from hearthrate.operators.design import assemble_vector, contiguous_folds, standardise
 from hearthrate.operators.residuals import dollar_metrics
-from hearthrate.session import spread
+from hearthrate.session import settle, spread
 from suite.registry import query, rounded, table
 
 FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 SMALL_TREES = {"forest": {"numTrees": 5, "maxDepth": 5}, "boosted": {"maxIter": 5, "maxDepth": 4}}
-KEY_SQL = "l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR || '-' || l_partkey::VARCHAR"
+KEY_SQL = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 LINES_SQL = f"""
 t AS (SELECT {KEY_SQL} AS id, l_quantity AS x, ln(l_extendedprice / 250.0 + 3 * l_quantity) AS y FROM lineitem),
 h AS (SELECT *, substr(md5('42|' || id), 1, 8) AS h42, substr(md5('7|' || id), 1, 8) AS h7 FROM t)
@@ -22,7 +22,7 @@ h AS (SELECT *, substr(md5('42|' || id), 1, 8) AS h42, substr(md5('7|' || id), 1
 
 
 def line_table(spark: SparkSession, sf: str) -> DataFrame:
-    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     price = F.col("l_extendedprice") / 250.0 + 3 * F.col("l_quantity")
     lines = table(spark, sf, "lineitem").select(
         key.alias("id"), F.ln(price).alias("label"), *[F.col(c).cast("double").alias(c) for c in FEATURES]
@@ -165,12 +165,14 @@ def boosted(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("model_comparison", "R7 R1 R2 R3 R4")
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    train, test = sides(vectors(spark, sf, FEATURES).persist())
+    rows = vectors(spark, sf, FEATURES).persist()
+    train, test = sides(rows)
     trained = [
         models.train_and_evaluate("linear", lambda _: models.linear(), train, test, clip=WIDE_CLIP),
         models.train_and_evaluate("forest", lambda _: models.forest(**SMALL_TREES["forest"]), train, test, clip=WIDE_CLIP),
         models.train_and_evaluate("boosted", lambda _: models.boosted(**SMALL_TREES["boosted"]), train, test, clip=WIDE_CLIP),
     ]
+    rows.unpersist()
     return models.comparison_table(train, trained).drop("train_time")
 
 
@@ -181,7 +183,7 @@ def search(spark: SparkSession, sf: str) -> DataFrame:
     train, test = sides(rows)
     trials = models.random_search(train, "half", 2, models.draw_parameters(2, ranges=ranges))
     refit = models.boosted_from(models.best_parameters(trials)).fit(train)
-    return trials.withColumn("test_mae", dollar_metrics(refit.transform(test)).select("mae").scalar())
+    return settle(trials.withColumn("test_mae", dollar_metrics(refit.transform(test)).select("mae").scalar()), rows)
 
 
 @query("best_so_far", "R8", """

@@ -99,7 +99,7 @@ feat AS (SELECT l_suppkey, overall_availability_rate, peak_availability_rate, of
   FROM rates JOIN streak USING (l_suppkey) LEFT JOIN part ON p_partkey = l_suppkey),
 j AS (SELECT p_partkey, feat.* FROM part LEFT JOIN feat ON l_suppkey = p_partkey)
 SELECT p_partkey, """ + ", ".join(
-    f"round(coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM j)), 6) AS {c}" for c in panel.PANEL_NUMERIC
+    f"round(coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM j)), 8) AS {c}" for c in panel.PANEL_NUMERIC
 ) + ", coalesce(has_dynamic_minimum, 0) AS has_dynamic_minimum FROM j")
 def panel_features_joined(spark: SparkSession, sf: str) -> DataFrame:
     parts = table(spark, sf, "part")
@@ -109,7 +109,7 @@ def panel_features_joined(spark: SparkSession, sf: str) -> DataFrame:
         lines(spark, sf), "l_suppkey", DATE, ties, available(), blocked(), "l_linenumber", prices
     )
     joined = panel.attach_panel_features(parts.select("p_partkey"), features, "p_partkey", "l_suppkey")
-    return rounded(joined, *panel.PANEL_NUMERIC)
+    return rounded(joined, *panel.PANEL_NUMERIC, digits=8)
 
 
 RECENT_CTE = """
@@ -180,8 +180,8 @@ k AS (SELECT conv_id, avg(compound) AS a, avg(CASE WHEN recency <= 10 THEN compo
        sum(regexp_matches(lower(text), '\\b(?:clean|spacious|view|location|quiet|cozy|comfortable|beautiful|amazing|perfect)\\b')::INTEGER)::INTEGER AS positive_keyword_count,
        sum(regexp_matches(lower(text), '\\b(?:noisy|dirty|small|outdated|cold|disappointing|misleading|broken|smell|mold)\\b')::INTEGER)::INTEGER AS negative_keyword_count
       FROM texts JOIN compound USING (id) GROUP BY conv_id)
-SELECT c_custkey, round(coalesce(a, 0), 6) AS avg_sentiment, round(coalesce(r, 0), 6) AS recent_sentiment,
-       round(coalesce(r - a, 0), 6) AS sentiment_trend, coalesce(pct_positive_reviews, 0) AS pct_positive_reviews,
+SELECT c_custkey, round(coalesce(a, 0), 8) AS avg_sentiment, round(coalesce(r, 0), 8) AS recent_sentiment,
+       round(coalesce(r - a, 0), 8) AS sentiment_trend, coalesce(pct_positive_reviews, 0) AS pct_positive_reviews,
        coalesce(pct_negative_reviews, 0) AS pct_negative_reviews, coalesce(positive_keyword_count, 0) AS positive_keyword_count,
        coalesce(negative_keyword_count, 0) AS negative_keyword_count, coalesce(review_velocity, 0) AS review_velocity
 FROM customer LEFT JOIN k ON conv_id = c_custkey LEFT JOIN v ON v.conv_id = c_custkey
@@ -195,4 +195,4 @@ def review_features_joined(spark: SparkSession, sf: str) -> DataFrame:
         talk, "conv_id", "turn", ["role"], "text", lexicon(spark), window=lambda latest: latest - 2
     )
     joined = recency.attach_review_features(table(spark, sf, "customer").select("c_custkey"), features, "c_custkey", "conv_id")
-    return rounded(joined, "avg_sentiment", "recent_sentiment", "sentiment_trend")
+    return rounded(joined, "avg_sentiment", "recent_sentiment", "sentiment_trend", digits=8)

@@ -164,11 +164,11 @@ s AS (SELECT count(*) AS n FROM t),
 c AS (SELECT status, count(*) * 100.0 / (SELECT n FROM s) AS pct FROM t GROUP BY status)
 SELECT 'schema' AS "check", 'absent' AS "column", 'failure' AS severity, NULL::DOUBLE AS value
 UNION ALL SELECT 'schema', 'status', 'warning', NULL
-UNION ALL SELECT 'nulls', 'priority', 'failure', round(count(CASE WHEN priority IS NULL THEN 1 END) * 100.0 / count(*), 4) FROM t
-UNION ALL SELECT 'nulls', 'status', 'warning', round(count(CASE WHEN status IS NULL THEN 1 END) * 100.0 / count(*), 4) FROM t
-UNION ALL SELECT 'range', 'rate', 'warning', round(max(rate), 4) FROM t
+UNION ALL SELECT 'nulls', 'priority', 'failure', round(count(CASE WHEN priority IS NULL THEN 1 END) * 100.0 / count(*), 6) FROM t
+UNION ALL SELECT 'nulls', 'status', 'warning', round(count(CASE WHEN status IS NULL THEN 1 END) * 100.0 / count(*), 6) FROM t
+UNION ALL SELECT 'range', 'rate', 'warning', round(max(rate), 6) FROM t
 UNION ALL SELECT 'variance', 'constant', 'warning', 7.0
-UNION ALL SELECT 'outliers', 'spike', 'warning', round((max(spike) - avg(spike)) / stddev_samp(spike), 4) FROM t
+UNION ALL SELECT 'outliers', 'spike', 'warning', round((max(spike) - avg(spike)) / stddev_samp(spike), 6) FROM t
 UNION ALL SELECT 'target', 'status', 'warning', count(*)::DOUBLE FROM c WHERE pct < 5 HAVING count(*) > 0
 """)
 def quality_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,7 +181,7 @@ def quality_report(spark: SparkSession, sf: str) -> DataFrame:
         F.when(key == 0, 1e7).otherwise((F.col("o_custkey") % 10).cast("double")).alias("spike"),
     )
     report = quality.quality_report(orders, {"absent": "int", "status": "double", "rate": "double"}, "status")
-    return report.select("check", "column", "severity", F.round("value", 4).alias("value"))
+    return report.select("check", "column", "severity", F.round("value", 6).alias("value"))
 
 
 @query("quality_verdict", "Q7", """
@@ -195,13 +195,13 @@ def quality_verdict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("class_balance", "Q6 A20", """
-SELECT CAST(quality AS VARCHAR) AS class, count(*) AS n, count(*) * 100.0 / (SELECT count(*) FROM labels) AS pct,
+SELECT CAST(quality AS VARCHAR) AS class, count(*) AS n, round(count(*) * 100.0 / (SELECT count(*) FROM labels), 6) AS pct,
        (count(*) * 100.0 / (SELECT count(*) FROM labels) < 5)::INTEGER AS below_min
 FROM labels GROUP BY quality
 """)
 def class_balance(spark: SparkSession, sf: str) -> DataFrame:
     counts = quality.class_table(table(spark, sf, "labels"), "quality")
-    return counts.withColumn("pct", F.col("pct"))
+    return rounded(counts, "pct")
 
 
 @query("quality_gate_strict", "Q8", f"""

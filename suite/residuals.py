@@ -32,15 +32,15 @@ def results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("results_frame", "E3 E4", "WITH " + PREDICTED + """
-SELECT id, round(actual, 6) AS actual, round(predicted, 6) AS predicted, round(error, 6) AS error,
-       round(abs_error, 6) AS abs_error, round(pct_error, 6) AS pct_error, bucket FROM res
+SELECT id, round(actual, 7) AS actual, round(predicted, 7) AS predicted, round(error, 7) AS error,
+       round(abs_error, 7) AS abs_error, round(pct_error, 7) AS pct_error, bucket FROM res
 """)
 def results_frame(spark: SparkSession, sf: str) -> DataFrame:
     logs = results(spark, sf).select("id", F.ln("actual").alias("label"), F.ln("predicted").alias("prediction"))
     frame = residuals.results_frame(logs, clip=None).select(
         "id", "actual", "predicted", "error", "abs_error", "pct_error", "bucket"
     )
-    return rounded(frame, "actual", "predicted", "error", "abs_error", "pct_error")
+    return rounded(frame, "actual", "predicted", "error", "abs_error", "pct_error", digits=7)
 
 
 @query("dollar_metrics", "E1 E2", "WITH " + PREDICTED + """,

@@ -82,11 +82,11 @@ def tier_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("tier_distribution", "E14 J4", SCORED + """
-SELECT t.tier, position, count(sc.tier) AS n, count(sc.tier) * 100.0 / (SELECT count(*) FROM sc) AS pct
+SELECT t.tier, position, count(sc.tier) AS n, round(count(sc.tier) * 100.0 / (SELECT count(*) FROM sc), 6) AS pct
 FROM (VALUES ('HIGH', 0), ('MEDIUM', 1), ('LOW', 2)) t(tier, position) LEFT JOIN sc USING (tier) GROUP BY t.tier, position
 """)
 def tier_distribution(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(residuals.tier_distribution(scored(spark, sf)), "pct", digits=9)
+    return rounded(residuals.tier_distribution(scored(spark, sf)), "pct")
 
 
 @query("tier_ordering", "E15", SCORED + """,
@@ -120,16 +120,16 @@ def tier_examples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("prediction_points", "E18 J5", SCORED + """
-SELECT id, round(actual, 6) AS actual, round(predicted, 6) AS predicted, tier, round(abs_error, 6) AS abs_error FROM sc
+SELECT id, round(actual, 7) AS actual, round(predicted, 7) AS predicted, tier, round(abs_error, 7) AS abs_error FROM sc
 """)
 def prediction_points(spark: SparkSession, sf: str) -> DataFrame:
     out = scored(spark, sf).select("id", "actual", "predicted", "tier", "abs_error")
-    return rounded(out, "actual", "predicted", "abs_error")
+    return rounded(out, "actual", "predicted", "abs_error", digits=7)
 
 
 @query("rule_price", "G13", """
-SELECT p_partkey, greatest(25.0, least(490.0, (p_size % 5) * 55.0 + (p_size % 3) * 20.0 + greatest(0.0, p_size % 9 - 2) * 8.0
-       + (p_size * 0.7::DOUBLE) + CASE WHEN p_type = 'PROMO' THEN 20 ELSE 0 END + CASE WHEN p_brand = 'Brand#1' THEN 15 ELSE 0 END))::DOUBLE AS price
+SELECT p_partkey, round(greatest(25.0, least(490.0, (p_size % 5) * 55.0 + (p_size % 3) * 20.0 + greatest(0.0, p_size % 9 - 2) * 8.0
+       + (p_size * 0.7::DOUBLE) + CASE WHEN p_type = 'PROMO' THEN 20 ELSE 0 END + CASE WHEN p_brand = 'Brand#1' THEN 15 ELSE 0 END))::DOUBLE, 9) AS price
 FROM part
 """)
 def rule_price(spark: SparkSession, sf: str) -> DataFrame:
