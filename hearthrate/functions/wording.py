@@ -47,10 +47,9 @@ COMPLAINT_WORDS = (
 )
 
 
-def pattern_flags(text: Column, patterns: Mapping[str, str]) -> list[Column]:
-    """One 0/1 column per pattern; missing text counts as empty."""
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    return [lowered.rlike(pattern).cast("int").alias(name) for name, pattern in patterns.items()]
+def pattern_flags(lowered: Column, patterns: Mapping[str, str]) -> list[Column]:
+    """One 0/1 column per pattern over text that is already lower case; missing text counts as empty."""
+    return [flag(lowered.rlike(pattern)).alias(name) for name, pattern in patterns.items()]
 
 
 def mentions_any(text: Column, words: tuple[str, ...]) -> Column:

@@ -28,23 +28,23 @@ def _bin_of(value: Column, cuts: Column) -> Column:
     return coarse * STEP + below(F.slice(cuts, coarse * STEP + 1, STEP - 1))
 
 
+def cut_points(value: Column) -> Column:
+    """Aggregate: the ascending cuts of a column's values into ``BINS`` bins."""
+    return F.percentile_approx(value, [i / BINS for i in range(1, BINS)], 10_000)
+
+
 def running_totals(
-    counts: DataFrame, value: str, totals: Sequence[str], groups: Sequence[str] = ()
+    counts: DataFrame, value: str, totals: Sequence[str], groups: Sequence[str], cuts: DataFrame
 ) -> DataFrame:
     """Add ``<total>_before``: the sum over strictly smaller values of the group.
 
-    ``counts`` holds one row per (groups, value).
+    ``counts`` holds one row per (groups, value); ``cuts`` holds (groups, cuts)
+    from ``cut_points``. Any cuts give the right totals; good ones even the load.
     """
-    groups = list(groups)
-    keyed = counts if groups else counts.withColumn("_all", F.lit(1))
-    keys = groups or ["_all"]
-    probs = [i / BINS for i in range(1, BINS)]
-    cuts = keyed.groupBy(*keys).agg(F.percentile_approx(value, probs, 10_000).alias("_cuts"))
+    keys = list(groups)
     small = fetch_small(cuts)
-    with_cuts = keyed.join(F.broadcast(small) if small is not None else cuts, keys)
-    binned = with_cuts.withColumn(
-        "_bin", _bin_of(F.col(value), F.col("_cuts"))
-    ).drop("_cuts")
+    binned = counts.join(F.broadcast(small) if small is not None else cuts, keys)
+    binned = binned.withColumn("_bin", _bin_of(F.col(value), F.col("cuts"))).drop("cuts")
 
     per_bin = binned.groupBy(*keys, "_bin").agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
     earlier = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -55,16 +55,16 @@ def running_totals(
     # At most BINS rows per group, so the number of groups bounds this side.
     few_groups = small is not None and small.count() * BINS <= OFFSET_ROWS
     placed = binned.join(F.broadcast(offsets) if few_groups else offsets, [*keys, "_bin"])
-    out = placed.select(
-        *[c for c in counts.columns],
+    return placed.select(
+        *counts.columns,
         *[(F.col(f"_base_{t}") + F.coalesce(F.sum(t).over(within), F.lit(0))).alias(f"{t}_before") for t in totals],
     )
-    return out
 
 
-def average_ranks(df: DataFrame, value: str, weight: str | None = None) -> DataFrame:
+def average_ranks(df: DataFrame, value: str) -> DataFrame:
     """(value, n, rank): the average rank all rows holding a value share (ties average)."""
-    amount = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(amount.alias("n"))
-    ranked = running_totals(counts, value, ["n"])
+    known = df.where(F.col(value).isNotNull()).select(F.lit(1).alias("_all"), value)
+    counts = known.groupBy("_all", value).agg(F.count(F.lit(1)).alias("n"))
+    cuts = known.groupBy("_all").agg(cut_points(F.col(value)).alias("cuts"))
+    ranked = running_totals(counts, value, ["n"], ["_all"], cuts)
     return ranked.select(value, "n", (F.col("n_before") + (F.col("n") + 1) / 2).alias("rank"))

@@ -82,6 +82,10 @@ def text_features(df: DataFrame, description: str = "description", amenities: st
     empty = F.lit("")
     about = F.col(description) if description in df.columns else empty
     items = F.col(amenities) if amenities in df.columns else empty
-    return df.select(
-        "*", *pattern_flags(about, DESCRIPTION_PATTERNS), *pattern_flags(items, AMENITY_PATTERNS)
+    # Lower-casing once in its own step keeps it from being repeated per pattern.
+    lowered = df.withColumns({"_about": F.lower(F.coalesce(about, empty)), "_items": F.lower(F.coalesce(items, empty))})
+    return lowered.select(
+        *df.columns,
+        *pattern_flags(F.col("_about"), DESCRIPTION_PATTERNS),
+        *pattern_flags(F.col("_items"), AMENITY_PATTERNS),
     ).drop(description)

@@ -16,6 +16,7 @@ from hearthrate.functions.calendar import is_off_season, is_peak, is_weekend_nig
 from hearthrate.functions.nulls import clamp, flag, number, ratio
 from hearthrate.operators.impute import fill_with_medians
 from hearthrate.operators.skew import HOT_KEY_ROWS, hot_keys, order_chunk
+from hearthrate.session import cut_lineage
 
 RATE_COLUMNS = (
     "overall_availability_rate", "peak_availability_rate", "off_availability_rate", "pct_weekend_available",
@@ -150,7 +151,8 @@ def attach_panel_features(
     if at least one entity is absent, and then fills every other gap as well;
     ``when='always'`` fills gaps regardless.
     """
-    joined = entities.join(features.withColumnRenamed(panel_key, key), key, "left")
+    # One row per entity, written once: the medians then read it instead of the panel.
+    joined = cut_lineage(entities.join(features.withColumnRenamed(panel_key, key), key, "left"))
     absent = joined.where(F.col("overall_availability_rate").isNull())
     if when == "any_missing" and absent.isEmpty():
         return joined.withColumn("has_dynamic_minimum", F.col("has_dynamic_minimum").cast("int"))

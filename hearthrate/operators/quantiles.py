@@ -9,6 +9,7 @@ only a sliver of the rows is shuffled and ordered, however large the group is.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -20,43 +21,42 @@ SKETCH_ACCURACY = 10_000
 MARGIN = 4 / SKETCH_ACCURACY
 # Groups up to this size are counted whole: margins below two ranks prove nothing.
 WHOLE_GROUP_ROWS = 10_000
+# Columns per pass.
+COLUMN_CHUNK = 60
 
 
-def melt_values(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
-    """(groups, column, v): one row per value present; rows with a null group drop out."""
-    kept = df
+def known_groups(df: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Rows whose group columns are all present."""
     for group in groups:
-        kept = kept.where(F.col(group).isNotNull())
-    if len(columns) == 1:
-        named = kept.select(*groups, F.lit(columns[0]).alias("column"), number(df, columns[0]).alias("v"))
-    else:
-        cells = F.array(*[F.struct(F.lit(c).alias("column"), number(df, c).alias("v")) for c in columns])
-        named = kept.select(*groups, F.explode(cells).alias("cell")).select(*groups, "cell.column", "cell.v")
-    return named.where(F.col("v").isNotNull())
-
-
-def _brackets(values: DataFrame, keys: list[str], probs: Sequence[float]) -> DataFrame:
-    """(keys, rows, lows, highs): a value range around each wanted rank."""
-    lows = [max(0.0, p - MARGIN) for p in probs]
-    highs = [min(1.0, p + MARGIN) for p in probs]
-    sketch = values.groupBy(*keys).agg(
-        F.count("v").alias("rows"),
-        F.min("v").alias("smallest"),
-        F.max("v").alias("largest"),
-        F.percentile_approx("v", lows + highs, SKETCH_ACCURACY).alias("edges"),
-    )
-    whole = F.col("rows") <= WHOLE_GROUP_ROWS
-
-    def edge(position: int, prob: float, limit: float, extreme: str) -> Column:
-        return F.when(whole | F.lit(prob == limit), F.col(extreme)).otherwise(F.col("edges")[position])
-
-    size = len(probs)
-    return sketch.select(
-        *keys,
-        "rows",
-        F.array(*[edge(i, p, 0.0, "smallest") for i, p in enumerate(lows)]).alias("lows"),
-        F.array(*[edge(size + i, p, 1.0, "largest") for i, p in enumerate(highs)]).alias("highs"),
-    )
+        df = df.where(F.col(group).isNotNull())
+    return df
+
+
+def _edges(index: int, probs: Sequence[float]) -> Column:
+    """(lows, highs) around each wanted rank of one column, from its sketch."""
+    rows, smallest, largest, edges = (F.col(f"{stem}{index}") for stem in ("rows", "smallest", "largest", "edges"))
+    whole = rows <= WHOLE_GROUP_ROWS
+    lows = [F.when(whole | F.lit(p <= MARGIN), smallest).otherwise(edges[i]) for i, p in enumerate(probs)]
+    highs = [
+        F.when(whole | F.lit(p >= 1 - MARGIN), largest).otherwise(edges[len(probs) + i]) for i, p in enumerate(probs)
+    ]
+    return F.struct(rows.alias("rows"), F.array(*lows).alias("lows"), F.array(*highs).alias("highs"))
+
+
+def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], groups: Sequence[str]) -> DataFrame:
+    """One row per group with a struct ``b<i>`` (rows, lows, highs) per column: one pass, nothing exploded."""
+    around = [max(0.0, p - MARGIN) for p in probs] + [min(1.0, p + MARGIN) for p in probs]
+    sketches = []
+    for i, name in enumerate(columns):
+        value = number(df, name)
+        sketches += [
+            F.count(value).alias(f"rows{i}"),
+            F.min(value).alias(f"smallest{i}"),
+            F.max(value).alias(f"largest{i}"),
+            F.percentile_approx(value, around, SKETCH_ACCURACY).alias(f"edges{i}"),
+        ]
+    wide = df.groupBy(*groups).agg(*sketches)
+    return wide.select(*groups, *[_edges(i, probs).alias(f"b{i}") for i in range(len(columns))])
 
 
 def _brackets_below(value: Column, highs: Column, size: int) -> Column:
@@ -66,34 +66,58 @@ def _brackets_below(value: Column, highs: Column, size: int) -> Column:
     return F.size(F.filter(highs, lambda high: high < value))
 
 
+def _place(value: Column, bracket: Column, name: str, size: int) -> Column:
+    """Where a value counts. In a bracket it stands for itself (gap 0); between brackets the edge
+    below represents it (gap 1), or NULL below the first bracket."""
+    lows, highs = bracket["lows"], bracket["highs"]
+    passed = _brackets_below(value, highs, size)
+    inside = (passed < size) & (value >= F.get(lows, passed))
+    return F.struct(
+        F.lit(name).alias("column"),
+        F.when(inside, value).otherwise(F.get(highs, passed - 1)).alias("place"),
+        F.when(value.isNotNull(), F.when(inside, 0).otherwise(1)).alias("gap"),
+    )
+
+
 def quantile_table(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], groups: Sequence[str] = ()
 ) -> DataFrame:
     """(groups, column, rows, q): exact linearly interpolated quantiles, ``q`` in the order of ``probs``.
 
-    ``probs`` must ascend. Columns without any value yield no row.
+    ``probs`` must ascend. Columns without any value yield no row. Rows with a
+    null group drop out.
     """
     if list(probs) != sorted(probs):
         raise ValueError("probs must ascend")
-    keys = [*groups, "column"]
-    values = melt_values(df, columns, groups)
-    brackets = _brackets(values, keys, probs)
+    if len(columns) > COLUMN_CHUNK:
+        parts = [columns[i : i + COLUMN_CHUNK] for i in range(0, len(columns), COLUMN_CHUNK)]
+        return reduce(DataFrame.unionByName, [quantile_table(df, part, probs, groups) for part in parts])
+    groups = list(groups)
+    kept = known_groups(df, groups)
+    brackets = _brackets(kept, columns, probs, groups)
+    # Without groups this is one row; with few groups it is a side of checked size.
     small = fetch_small(brackets)
-    side = F.broadcast(small) if small is not None else brackets
-    with_edges = values.join(side.select(*keys, "lows", "highs"), keys)
-
-    # A value in a bracket stands for itself (gap 0). A value between brackets is
-    # represented by the bracket edge below it (gap 1), or NULL below the first.
-    v, lows, highs = F.col("v"), F.col("lows"), F.col("highs")
-    placed = with_edges.withColumn("passed", _brackets_below(v, highs, len(probs)))
-    passed = F.col("passed")
-    inside = (passed < len(probs)) & (v >= F.get(lows, passed))
+    if groups:
+        side = F.broadcast(small) if small is not None else brackets
+        kept_cells = kept.select(*groups, *[number(kept, c).alias(f"v{i}") for i, c in enumerate(columns)])
+        with_edges = kept_cells.join(side, groups)
+    else:
+        side = small
+        constants = small.first()
+        with_edges = kept.select(*[number(kept, c).alias(f"v{i}") for i, c in enumerate(columns)]).withColumns({
+            f"b{i}": F.struct(*[
+                F.lit(constants[f"b{i}"][edge]).cast("array<double>").alias(edge) for edge in ("lows", "highs")
+            ])
+            for i in range(len(columns))
+        })
+    cells = [_place(F.col(f"v{i}"), F.col(f"b{i}"), name, len(probs)) for i, name in enumerate(columns)]
+    if len(cells) == 1:
+        placed = with_edges.select(*groups, cells[0].alias("cell"))
+    else:
+        placed = with_edges.select(*groups, F.explode(F.array(*cells)).alias("cell"))
+    keys = [*groups, "column"]
     counted = (
-        placed.select(
-            *keys,
-            F.when(inside, v).otherwise(F.get(highs, passed - 1)).alias("place"),
-            F.when(inside, 0).otherwise(1).alias("gap"),
-        )
+        placed.select(*groups, "cell.*").where(F.col("gap").isNotNull())
         .groupBy(*keys, "place", "gap")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -101,6 +125,9 @@ def quantile_table(
     reached = counted.withColumn("reached", F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)))
 
     # Each counted value answers the wanted ranks it covers: at most two per quantile and group.
+    sizes = side.select(*groups, F.explode(F.array(*[
+        F.struct(F.lit(name).alias("column"), F.col(f"b{i}.rows").alias("rows")) for i, name in enumerate(columns)
+    ])).alias("size")).select(*groups, "size.*")
     ranks = [(F.col("rows") - 1) * F.lit(float(p)) for p in probs]
     wanted = F.array(*[
         F.struct(F.lit(2 * i + up).alias("slot"), (F.ceil(rank) if up else F.floor(rank)).alias("rank"))
@@ -108,7 +135,7 @@ def quantile_table(
     ])
     first, last = F.col("reached") - F.col("n"), F.col("reached")
     hits = (
-        reached.join(side.select(*keys, "rows"), keys)
+        reached.join(F.broadcast(sizes) if small is not None else sizes, keys)
         .withColumn("hit", F.explode(F.filter(wanted, lambda w: (w["rank"] >= first) & (w["rank"] < last))))
     )
     miss = F.raise_error(F.lit("quantile outside its bracket")).cast("double")

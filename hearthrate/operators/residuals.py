@@ -156,29 +156,23 @@ def _beta_share(a: float, b: float, x: float) -> float:
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """(n, r): rank correlation with average ranks for ties.
 
-    Rows collapse to distinct pairs first; ranks come from distinct values and
-    are centred before they are multiplied, so large tables keep precision.
+    Ranks come from distinct values and are centred before they are multiplied,
+    so large tables keep precision.
     """
-    pairs = (
-        df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-        .groupBy(F.col(x).alias("x"), F.col(y).alias("y"))
-        .agg(F.count(F.lit(1)).alias("pairs"))
+    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).alias("x"), F.col(y).alias("y"))
+    ranks_x = average_ranks(rows, "x").select("x", F.col("rank").alias("rank_x"))
+    ranks_y = average_ranks(rows, "y").select("y", F.col("rank").alias("rank_y"))
+    centre = (rows.agg(F.count(F.lit(1))).scalar() + 1) / 2
+    centred = rows.join(ranks_x, "x").join(ranks_y, "y").select(
+        (F.col("rank_x") - centre).alias("a"), (F.col("rank_y") - centre).alias("b")
     )
-    ranks_x = average_ranks(pairs, "x", "pairs").select("x", F.col("rank").alias("rank_x"))
-    ranks_y = average_ranks(pairs, "y", "pairs").select("y", F.col("rank").alias("rank_y"))
-    total = pairs.agg(F.sum("pairs")).scalar()
-    centre = (total + 1) / 2
-    centred = pairs.join(ranks_x, "x").join(ranks_y, "y").select(
-        "pairs", (F.col("rank_x") - centre).alias("a"), (F.col("rank_y") - centre).alias("b")
-    )
-    weight = F.col("pairs").cast("double")
     sums = centred.agg(
-        F.sum("pairs").alias("n"),
-        F.sum(weight * F.col("a") * F.col("b")).alias("ab"),
-        F.sum(weight * F.col("a") * F.col("a")).alias("aa"),
-        F.sum(weight * F.col("b") * F.col("b")).alias("bb"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("a") * F.col("b")).alias("ab"),
+        F.sum(F.col("a") * F.col("a")).alias("aa"),
+        F.sum(F.col("b") * F.col("b")).alias("bb"),
     )
-    return sums.select("n", ratio(F.col("ab"), F.sqrt(F.col("aa") * F.col("bb"))).alias("r"))
+    return sums.select("n", ratio(F.col("ab"), F.sqrt(F.col("aa")) * F.sqrt(F.col("bb"))).alias("r"))
 
 
 def heteroscedasticity(results: DataFrame) -> dict:

@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from hearthrate.functions.nulls import ratio
-from hearthrate.operators.cumulative import running_totals
-from hearthrate.operators.quantiles import melt_values
+from hearthrate.functions.nulls import number, ratio
+from hearthrate.operators.cumulative import cut_points, running_totals
 
 SIGNIFICANCE = 0.05
 SERIES_TERMS = 100
@@ -34,12 +33,18 @@ def ks_two_sample(
 
     Values are counted first, so the ordered work is over distinct values.
     """
-    values = melt_values(df, columns, [side])
+    sided = df.where(F.col(side).isin(first, second)).select(side, *[number(df, c).alias(c) for c in columns])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in columns])
+    values = sided.select(side, F.explode(cells).alias("cell")).select(side, "cell.*").where(F.col("v").isNotNull())
     counts = values.groupBy("column", "v").agg(
         F.count(F.when(F.col(side) == first, 1)).alias("one"),
         F.count(F.when(F.col(side) == second, 1)).alias("two"),
     )
-    stepped = running_totals(counts, "v", ["one", "two"], ["column"])
+    wide = sided.agg(*[cut_points(F.col(c)).alias(c) for c in columns])
+    cuts = wide.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("cuts")) for c in columns
+    ])).alias("cell")).select("cell.*")
+    stepped = running_totals(counts, "v", ["one", "two"], ["column"], cuts)
     totals = counts.groupBy("column").agg(F.sum("one").alias("n1"), F.sum("two").alias("n2"))
     joined = stepped.join(totals, "column")
     gap = F.abs(

@@ -24,15 +24,16 @@ h AS (SELECT *, substr(md5('42|' || id), 1, 8) AS h42, substr(md5('7|' || id), 1
 def line_table(spark: SparkSession, sf: str) -> DataFrame:
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     price = F.col("l_extendedprice") / 250.0 + 3 * F.col("l_quantity")
-    lines = table(spark, sf, "lineitem").select(
+    # The trees make many passes and the keys are hashed, so few input splits would idle most cores.
+    source = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", *FEATURES)
+    lines = spread(source).select(
         key.alias("id"), F.ln(price).alias("label"), *[F.col(c).cast("double").alias(c) for c in FEATURES]
     )
     return lines.withColumns({"side": split_side(F.col("id")), "fold": fold_of(F.col("id"), 5, seed=7)})
 
 
 def vectors(spark: SparkSession, sf: str, features: list[str]) -> DataFrame:
-    """Model rows on all cores: trees make many passes, so few input splits would idle most of them."""
-    return assemble_vector(spread(line_table(spark, sf)), features)
+    return assemble_vector(line_table(spark, sf), features)
 
 
 def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -68,7 +69,7 @@ f AS (SELECT avg(y) AS ybar, (sum(z * y) - avg(y) * sum(z)) / (count(*) + 10.0)
 p AS (SELECT y, ybar + w * z AS l, exp(least(greatest(ybar + w * z, ln(1.0)), ln(200000.0))) AS p FROM z, f)
 """ + _METRICS_SQL + ", round(max(w), 9) AS weight FROM p, f")
 def ridge(spark: SparkSession, sf: str) -> DataFrame:
-    rows = assemble_vector(standardise(spread(line_table(spark, sf)), ["l_quantity"]), ["l_quantity"])
+    rows = assemble_vector(standardise(line_table(spark, sf), ["l_quantity"]), ["l_quantity"])
     fitted = ridge_maker(rows).fit(rows)
     out = dollar_metrics(fitted.transform(rows), clip=WIDE_CLIP)
     return out.select(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hearthrate.operators import quantiles, residuals, skew, validation
-from hearthrate.operators.cumulative import average_ranks, running_totals
+from hearthrate.operators.cumulative import average_ranks, cut_points, running_totals
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
 
@@ -64,7 +64,9 @@ def test_average_ranks_match_pandas(spark, name):
 def test_running_totals_per_group(spark):
     data = frame(5_000)
     counts = data.groupby(["g", "tied"]).size().rename("n").reset_index()
-    out = running_totals(spark.createDataFrame(counts), "tied", ["n"], ["g"]).toPandas().sort_values(["g", "tied"])
+    df = spark.createDataFrame(counts)
+    cuts = df.groupBy("g").agg(cut_points(F.col("tied")).alias("cuts"))
+    out = running_totals(df, "tied", ["n"], ["g"], cuts).toPandas().sort_values(["g", "tied"])
     expected = counts.sort_values(["g", "tied"])
     assert (out["n_before"].to_numpy() == (expected.groupby("g")["n"].cumsum() - expected["n"]).to_numpy()).all()
 
