@@ -33,9 +33,6 @@ def split_side(key: Column, test_share: float = 0.2, seed: int = SEED) -> Column
 
 
 def fold_of(key: Column, folds: int, seed: int = SEED) -> Column:
-    """Shuffled fold number 0..folds-1 by hash range."""
-    head = F.substring(key_digest(key, seed), 1, 8)
-    chain = F.when(head < hex_cut(1 / folds), 0)
-    for fold in range(1, folds - 1):
-        chain = chain.when(head < hex_cut((fold + 1) / folds), fold)
-    return chain.otherwise(folds - 1)
+    """Shuffled fold number 0..folds-1 by hash range, from one digest."""
+    head = F.conv(F.substring(key_digest(key, seed), 1, 8), 16, 10).cast("long")
+    return F.floor(head * folds / F.lit(float(0x100000000))).cast("int")

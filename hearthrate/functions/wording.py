@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -47,11 +49,42 @@ COMPLAINT_WORDS = (
 )
 
 
+def _alternatives(pattern: str) -> list[str]:
+    """The alternatives of a pattern, split at bars outside groups."""
+    parts, depth = [""], 0
+    for char in pattern:
+        depth += (char == "(") - (char == ")")
+        if char == "|" and depth == 0:
+            parts.append("")
+        else:
+            parts[-1] += char
+    return parts
+
+
+def _stem(alternative: str) -> str:
+    """Plain text every match of an alternative must hold: its letters up to the first special character."""
+    body = alternative.removeprefix(r"\b")
+    plain = re.match(r"[a-z ]*", body).group()
+    return plain[:-1] if body[len(plain) : len(plain) + 1] in ("?", "*", "{") else plain
+
+
+def matches(lowered: Column, pattern: str) -> Column:
+    """``rlike`` behind a search for the pattern's plain stems.
+
+    A byte search rules out most texts, and only the others pay for the regular
+    expression. A pattern with an alternative without stem is matched directly.
+    """
+    stems = sorted({_stem(part) for part in _alternatives(pattern)})
+    if not all(stems):
+        return lowered.rlike(pattern)
+    return reduce(Column.__or__, [F.contains(lowered, F.lit(stem)) for stem in stems]) & lowered.rlike(pattern)
+
+
 def pattern_flags(lowered: Column, patterns: Mapping[str, str]) -> list[Column]:
     """One 0/1 column per pattern over text that is already lower case; missing text counts as empty."""
-    return [flag(lowered.rlike(pattern)).alias(name) for name, pattern in patterns.items()]
+    return [flag(matches(lowered, pattern)).alias(name) for name, pattern in patterns.items()]
 
 
 def mentions_any(text: Column, words: tuple[str, ...]) -> Column:
     """1 if the text holds one of the words as a whole word."""
-    return flag(F.lower(text).rlike(r"\b(?:" + "|".join(words) + r")\b"))
+    return flag(matches(F.lower(text), "|".join(rf"\b{word}\b" for word in words)))

@@ -66,17 +66,28 @@ def _brackets_below(value: Column, highs: Column, size: int) -> Column:
     return F.size(F.filter(highs, lambda high: high < value))
 
 
-def _place(value: Column, bracket: Column, name: str, size: int) -> Column:
-    """Where a value counts. In a bracket it stands for itself (gap 0); between brackets the edge
-    below represents it (gap 1), or NULL below the first bracket."""
-    lows, highs = bracket["lows"], bracket["highs"]
-    passed = _brackets_below(value, highs, size)
-    inside = (passed < size) & (value >= F.get(lows, passed))
-    return F.struct(
-        F.lit(name).alias("column"),
-        F.when(inside, value).otherwise(F.get(highs, passed - 1)).alias("place"),
-        F.when(value.isNotNull(), F.when(inside, 0).otherwise(1)).alias("gap"),
-    )
+def _placed(values: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
+    """Replace ``v<i>`` by ``place<i>`` and ``gap<i>``, where its value counts.
+
+    In a bracket a value stands for itself (gap 0); between brackets the edge
+    below represents it (gap 1), or NULL below the first bracket. Three short
+    projections stay compiled where one long expression would not.
+    """
+    every = range(len(columns))
+    passed = values.withColumns({
+        f"p{i}": _brackets_below(F.col(f"v{i}"), F.col(f"highs{i}"), size) for i in every
+    })
+    gaps = passed.withColumns({
+        f"gap{i}": F.when(F.col(f"v{i}").isNull(), None)
+        .when((F.col(f"p{i}") < size) & (F.col(f"v{i}") >= F.get(F.col(f"lows{i}"), F.col(f"p{i}"))), 0)
+        .otherwise(1)
+        for i in every
+    })
+    return gaps.withColumns({
+        f"place{i}": F.when(F.col(f"gap{i}") == 0, F.col(f"v{i}")).otherwise(
+            F.get(F.col(f"highs{i}"), F.col(f"p{i}") - 1))
+        for i in every
+    })
 
 
 def quantile_table(
@@ -97,27 +108,25 @@ def quantile_table(
     brackets = _brackets(kept, columns, probs, groups)
     # Without groups this is one row; with few groups it is a side of checked size.
     small = fetch_small(brackets)
+    values = kept.select(*groups, *[number(kept, c).alias(f"v{i}") for i, c in enumerate(columns)])
     if groups:
         side = F.broadcast(small) if small is not None else brackets
-        kept_cells = kept.select(*groups, *[number(kept, c).alias(f"v{i}") for i, c in enumerate(columns)])
-        with_edges = kept_cells.join(side, groups)
-    else:
-        side = small
-        constants = small.first()
-        with_edges = kept.select(*[number(kept, c).alias(f"v{i}") for i, c in enumerate(columns)]).withColumns({
-            f"b{i}": F.struct(*[
-                F.lit(constants[f"b{i}"][edge]).cast("array<double>").alias(edge) for edge in ("lows", "highs")
-            ])
-            for i in range(len(columns))
-        })
-    cells = [_place(F.col(f"v{i}"), F.col(f"b{i}"), name, len(probs)) for i, name in enumerate(columns)]
-    if len(cells) == 1:
-        placed = with_edges.select(*groups, cells[0].alias("cell"))
+        edges = side.select(*groups, *[
+            F.col(f"b{i}.{edge}").alias(f"{edge}{i}") for i in range(len(columns)) for edge in ("lows", "highs")
+        ])
+        with_edges = values.join(edges, groups)
     else:
-        placed = with_edges.select(*groups, F.explode(F.array(*cells)).alias("cell"))
+        side, constants = small, small.first()
+        with_edges = values.select("*", *[
+            F.lit(constants[f"b{i}"][edge]).cast("array<double>").alias(f"{edge}{i}")
+            for i in range(len(columns)) for edge in ("lows", "highs")
+        ])
+    placed = _placed(with_edges, columns, len(probs))
+    cells = [part for i, name in enumerate(columns) for part in (F.lit(name), F.col(f"place{i}"), F.col(f"gap{i}"))]
     keys = [*groups, "column"]
     counted = (
-        placed.select(*groups, "cell.*").where(F.col("gap").isNotNull())
+        placed.select(*groups, F.stack(F.lit(len(columns)), *cells).alias("column", "place", "gap"))
+        .where(F.col("gap").isNotNull())
         .groupBy(*keys, "place", "gap")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -208,7 +208,7 @@ def split_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("fold_counts", "M11", """
 WITH h AS (SELECT substr(md5('42|' || o_orderkey::VARCHAR), 1, 8) AS h, ntile(5) OVER (ORDER BY o_orderkey) - 1 AS block FROM orders)
-SELECT (CASE WHEN h < '33333333' THEN 0 WHEN h < '66666666' THEN 1 WHEN h < '99999999' THEN 2 WHEN h < 'cccccccc' THEN 3 ELSE 4 END)::INTEGER AS fold,
+SELECT (CASE WHEN h < '33333334' THEN 0 WHEN h < '66666667' THEN 1 WHEN h < '9999999a' THEN 2 WHEN h < 'cccccccd' THEN 3 ELSE 4 END)::INTEGER AS fold,
        block::INTEGER AS block, count(*) AS n FROM h GROUP BY 1, 2
 """)
 def fold_counts(spark: SparkSession, sf: str) -> DataFrame:

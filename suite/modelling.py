@@ -78,7 +78,7 @@ def ridge(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_FOLD = "CASE WHEN h7 < '33333333' THEN 0 WHEN h7 < '66666666' THEN 1 WHEN h7 < '99999999' THEN 2 WHEN h7 < 'cccccccc' THEN 3 ELSE 4 END"
+_FOLD = "CASE WHEN h7 < '33333334' THEN 0 WHEN h7 < '66666667' THEN 1 WHEN h7 < '9999999a' THEN 2 WHEN h7 < 'cccccccd' THEN 3 ELSE 4 END"
 _FOLDS_SQL = "WITH " + LINES_SQL + f""",
 g AS (SELECT *, {_FOLD} AS fold FROM h),
 f AS (SELECT k AS fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM g, range(5) r(k) WHERE fold <> k GROUP BY k),

@@ -131,3 +131,18 @@ def test_folds_cover_all(spark):
     folds = spark.range(3000).select(keyed.fold_of(F.col("id"), 10).alias("f")).groupBy("f").count().toPandas()
     assert sorted(folds["f"]) == list(range(10))
     assert folds["count"].min() > 200
+
+
+def test_stems_never_lose_a_match(spark):
+    """The plain-text guard in front of the patterns agrees with the patterns alone."""
+    import itertools
+    import re
+
+    words = ["view", "views", "review", "city centre", "city center", "new renovated", "newly renovated", "high end", "high-end",
+             "modern", "modernized", "postmodern", "charming", "charms", "wood burning", "spa", "space", "hot tub", "hotttub"]
+    texts = [" ".join(pair) for pair in itertools.permutations(words, 2)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    every = {**wording.DESCRIPTION_PATTERNS, **wording.AMENITY_PATTERNS}
+    found = df.select("t", *wording.pattern_flags(F.col("t"), every)).toPandas()
+    for name, pattern in every.items():
+        assert found[name].tolist() == [int(bool(re.search(pattern, t))) for t in found["t"]], name
