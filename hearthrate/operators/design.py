@@ -205,24 +205,23 @@ def scenario_rows(
     return joined.select(*out)
 
 
-def row_positions(df: DataFrame, key: str, folds: int) -> list[float]:
-    """Key values that end each contiguous fold (all but the last), by exact order statistics."""
+def fold_ends(df: DataFrame, key: str, folds: int) -> list[float]:
+    """Bounds between contiguous folds, each halfway between the two keys it separates."""
     total = df.count()
-    sizes = [total // folds + (1 if i < total % folds else 0) for i in range(folds)]
     ends, reached = [], 0
-    for size in sizes[:-1]:
-        reached += size
-        ends.append(reached - 1)
+    for i in range(folds - 1):
+        reached += total // folds + (1 if i < total % folds else 0)
+        ends.append(reached)
     if total < 2:
         return []
-    probs = [min(1.0, max(0.0, e / (total - 1))) for e in ends]
-    row = quantile_table(df, [key], probs).first()
-    return [round(v) for v in row["q"]]
+    # Half a rank past the last row of a fold: rounding in the product cannot move a row.
+    probs = [min(1.0, max(0.0, (end - 0.5) / (total - 1))) for end in ends]
+    return list(quantile_table(df, [key], probs).first()["q"])
 
 
 def contiguous_folds(df: DataFrame, key: str, folds: int, out: str = "fold") -> DataFrame:
     """Fold numbers along the order of an integer key, as equal in size as possible."""
     chain = F.lit(folds - 1)
-    for fold, last in reversed(list(enumerate(row_positions(df, key, folds)))):
+    for fold, last in reversed(list(enumerate(fold_ends(df, key, folds)))):
         chain = F.when(F.col(key) <= last, fold).otherwise(chain)
     return df.withColumn(out, chain)

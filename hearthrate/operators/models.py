@@ -220,8 +220,9 @@ def training_prefix(df: DataFrame, key: str, fraction: float, seed: int = SEED)
         return hashed.drop("_hash")
     total = df.count()
     rows = max(1, int(total * fraction))
-    last = scalar_quantile(hashed.select("_hash"), "_hash", (rows - 1) / max(total - 1, 1))
-    return hashed.where(F.col("_hash") <= round(last or 0)).drop("_hash")
+    # Half a rank past the last wanted row, so the bound falls between two hashes.
+    bound = scalar_quantile(hashed.select("_hash"), "_hash", min(1.0, (rows - 0.5) / max(total - 1, 1)))
+    return hashed.where(F.col("_hash") <= F.lit(bound).cast("double")).drop("_hash")
 
 
 def learning_curve(

@@ -68,6 +68,7 @@ def blocked_streaks(
     ``ties`` must make the order within a key unique. With
     ``consecutive_dates`` a missing day also ends a streak.
     """
+    ties = [t for t in ties if t not in (key, date)]
     slim = panel.where(F.col(key).isNotNull()).select(key, date, *ties, flag(blocked).alias("_blocked"))
     chunk = order_chunk(key, F.to_date(date), hot_keys(slim, key, hot_above))
     rows = slim.withColumn("_chunk", chunk)

@@ -44,6 +44,8 @@ NEGATORS = (
     "werent", "oughtn't", "shan't", "shouldn't", "wasn't", "weren't", "without", "wont", "wouldnt", "won't",
     "wouldn't", "rarely", "seldom", "despite",
 )
+# A lexicon of up to this many words, a few megabytes, is broadcast.
+LEXICON_ROWS = 100_000
 # Marks at the start or end of a word.
 EDGE_MARKS = r"(?<!\S)\p{Punct}+|\p{Punct}+(?!\S)"
 
@@ -101,7 +103,7 @@ def score_sentiment(texts: DataFrame, keys: Sequence[str], text: str, lexicon: D
         F.col("_w._words").alias("_word"), F.lower("_w._words").alias("_low"),
         "_w._raw1", "_w._raw2", "_w._raw3",
     )
-    matched = lookup_join(near, lexicon.dropDuplicates(["_low"]), ["_low"]).where(
+    matched = lookup_join(near, lexicon.dropDuplicates(["_low"]), ["_low"], max_rows=LEXICON_ROWS).where(
         F.col("_valence").isNotNull() | F.col("_word").isNull()
     )
 

@@ -9,7 +9,9 @@ from hearthrate.session import spread
 from suite.features import SENTIMENT_CTES, lexicon
 from suite.registry import query, rounded, table
 
-KEY, DATE, TIES = "l_partkey", "l_shipdate", ["l_orderkey", "l_linenumber"]
+KEY, DATE = "l_partkey", "l_shipdate"
+# Rows that agree on all of these have the same state, so their order does not matter.
+TIES = ["l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_extendedprice", "l_returnflag"]
 
 
 def blocked():
@@ -26,8 +28,8 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
 
 STREAK_CTES = """
 f AS (SELECT l_partkey, (l_returnflag = 'R')::INTEGER AS b,
-             lag((l_returnflag = 'R')::INTEGER) OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber) AS p,
-             row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber) AS i
+             lag((l_returnflag = 'R')::INTEGER) OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_partkey, l_extendedprice, l_returnflag) AS p,
+             row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_partkey, l_extendedprice, l_returnflag) AS i
       FROM lineitem),
 g AS (SELECT *, sum(CASE WHEN p IS NULL OR p <> b THEN 1 ELSE 0 END) OVER (PARTITION BY l_partkey ORDER BY i) AS run FROM f),
 runs AS (SELECT l_partkey, run, max(b) AS b, count(*) AS len FROM g GROUP BY l_partkey, run),
@@ -86,8 +88,8 @@ def demand_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Supplier panels on the part table: most parts have no panel, so the fill has something to do.
-_BY_SUPPLIER = (RATE_CTES + "," + STREAK_CTES).replace("l_partkey", "l_suppkey").replace(
-    "l_shipdate, l_orderkey, l_linenumber", "l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity"
+_BY_SUPPLIER = (RATE_CTES + "," + STREAK_CTES).replace("l_suppkey, l_partkey", "TIES").replace("l_partkey", "l_suppkey").replace(
+    "TIES", "l_suppkey, l_partkey"
 )
 
 
@@ -104,9 +106,8 @@ SELECT p_partkey, """ + ", ".join(
 def panel_features_joined(spark: SparkSession, sf: str) -> DataFrame:
     parts = table(spark, sf, "part")
     prices = panel.price_lookup(parts, "p_partkey", "p_retailprice", "l_suppkey")
-    ties = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
     features = panel.panel_features(
-        lines(spark, sf), "l_suppkey", DATE, ties, available(), blocked(), "l_linenumber", prices
+        lines(spark, sf), "l_suppkey", DATE, TIES, available(), blocked(), "l_linenumber", prices
     )
     joined = panel.attach_panel_features(parts.select("p_partkey"), features, "p_partkey", "l_suppkey")
     return rounded(joined, *panel.PANEL_NUMERIC, digits=8)
@@ -129,9 +130,9 @@ def recent_n(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("recent_vs_all", "A11 A12 A13 J3", "WITH " + RECENT_CTE + """,
 s AS (SELECT user_id, recency, (value - 50) / 50 AS compound, event_type FROM recent)
-SELECT user_id, round(avg(compound), 6) AS avg_sentiment,
-       round(avg(CASE WHEN recency <= 10 THEN compound END), 6) AS recent_sentiment,
-       round(avg(CASE WHEN recency <= 10 THEN compound END) - avg(compound), 6) AS sentiment_trend,
+SELECT user_id, round(avg(compound), 9) AS avg_sentiment,
+       round(avg(CASE WHEN recency <= 10 THEN compound END), 9) AS recent_sentiment,
+       round(avg(CASE WHEN recency <= 10 THEN compound END) - avg(compound), 9) AS sentiment_trend,
        avg((compound > 0.05)::INTEGER) AS pct_positive_reviews, avg((compound < -0.05)::INTEGER) AS pct_negative_reviews,
        sum((event_type = 'click')::INTEGER)::INTEGER AS positive_keyword_count,
        sum((event_type = 'error')::INTEGER)::INTEGER AS negative_keyword_count
@@ -144,7 +145,7 @@ def recent_vs_all(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("event_type") == "click").cast("int").alias("has_praise"),
         (F.col("event_type") == "error").cast("int").alias("has_complaint"),
     )
-    return rounded(recency.sentiment_by_key(scored, "user_id"), "avg_sentiment", "recent_sentiment", "sentiment_trend")
+    return rounded(recency.sentiment_by_key(scored, "user_id"), "avg_sentiment", "recent_sentiment", "sentiment_trend", digits=9)
 
 
 @query("velocity", "A10 J8", """
@@ -170,7 +171,7 @@ def velocity_12_months(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _REVIEWS = """
-WITH talk AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC) AS recency FROM conversations
+WITH talk AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS recency FROM conversations
               QUALIFY recency <= 50),
 texts AS (SELECT conv_id * 1000 + recency AS id, conv_id, recency, text FROM talk),""" + SENTIMENT_CTES + """,
 v AS (SELECT conv_id, count(CASE WHEN turn >= (SELECT max(turn) - 2 FROM conversations) THEN 1 END) / count(*)::DOUBLE AS review_velocity
@@ -192,7 +193,7 @@ FROM customer LEFT JOIN k ON conv_id = c_custkey LEFT JOIN v ON v.conv_id = c_cu
 def review_features_joined(spark: SparkSession, sf: str) -> DataFrame:
     talk = spread(table(spark, sf, "conversations"))
     features = recency.review_features(
-        talk, "conv_id", "turn", ["role"], "text", lexicon(spark), window=lambda latest: latest - 2
+        talk, "conv_id", "turn", ["role", "text"], "text", lexicon(spark), window=lambda latest: latest - 2
     )
     joined = recency.attach_review_features(table(spark, sf, "customer").select("c_custkey"), features, "c_custkey", "conv_id")
     return rounded(joined, "avg_sentiment", "recent_sentiment", "sentiment_trend", digits=8)

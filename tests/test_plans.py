@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
+from suite.panels import TIES
 from suite.registry import table
 
 QUERIES = entry_module.queries()
@@ -47,7 +48,7 @@ def test_partitioning_does_not_change_results(spark, sf_dir, parts):
     from hearthrate.operators import panel
 
     lines = table(spark, sf_dir, "lineitem").repartition(parts, "l_suppkey")
-    out = panel.blocked_streaks(lines, "l_partkey", "l_shipdate", ["l_orderkey", "l_linenumber"], F.col("l_returnflag") == "R")
+    out = panel.blocked_streaks(lines, "l_partkey", "l_shipdate", TIES, F.col("l_returnflag") == "R")
     base = QUERIES["blocked_streak_rate"](spark, sf_dir)
     columns = ["l_partkey", "dates", "blocked_dates", "streaks"]
     assert out.select(columns).exceptAll(base.select(columns)).count() == 0
