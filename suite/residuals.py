@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthrate.functions.pricing import OPEN_EDGES, OPEN_LABELS, price_bucket
@@ -129,17 +131,36 @@ def trend_line(spark: SparkSession, sf: str) -> DataFrame:
     return lines.select("feature", F.round("slope", 4).alias("slope"), F.round("intercept", 3).alias("intercept"), F.round("r", 6).alias("r"))
 
 
-@query("qq_table", "E11")
+_PROBS = [(i + 0.5) / 99 for i in range(99)]
+_THEORY = [NormalDist().inv_cdf(p) for p in _PROBS]
+
+
+@query("qq_table", "E11", "WITH " + PREDICTED + f""",
+q AS (SELECT unnest({_PROBS}) AS prob, unnest({_THEORY}) AS theoretical, unnest(quantile_cont(ln(actual) - ln(predicted), {_PROBS})) AS sample FROM res),
+f AS (SELECT regr_slope(sample, theoretical) AS slope, regr_intercept(sample, theoretical) AS intercept, regr_r2(sample, theoretical) AS r2 FROM q)
+SELECT round(prob, 9) AS prob, round(theoretical, 9) AS theoretical, round(sample, 6) AS sample, round(slope, 6) AS slope,
+       round(intercept, 6) AS intercept, round(r2, 6) AS r2 FROM q, f
+""")
 def qq_table(spark: SparkSession, sf: str) -> DataFrame:
     logs = results(spark, sf).select((F.ln("actual") - F.ln("predicted")).alias("residual"))
     points = residuals.qq_table(logs, "residual")
     fit = residuals.qq_fit(points)
-    return points.withColumns({name: fit.select(name).scalar() for name in ("slope", "intercept", "r2")})
-
-
-@query("lowess_grid", "E10")
+    out = points.withColumns({name: fit.select(name).scalar() for name in ("slope", "intercept", "r2")})
+    return rounded(rounded(out, "prob", "theoretical", digits=9), "sample", "slope", "intercept", "r2")
+
+
+@query("lowess_grid", "E10", "WITH " + PREDICTED + """,
+e AS (SELECT min(predicted) AS lo, max(predicted) AS hi FROM res),
+g AS (SELECT i, lo + (hi - lo) * i / 19 AS x0 FROM e, range(20) r(i)),
+d AS (SELECT i, x0, predicted - x0 AS u, error AS y FROM res, g),
+h AS (SELECT i, quantile_cont(abs(u), 0.3) AS h FROM d GROUP BY i),
+w AS (SELECT i, x0, h, u, y, pow(1 - pow(abs(u) / h, 3), 3) AS w FROM d JOIN h USING (i) WHERE abs(u) < h),
+s AS (SELECT i, x0, h, sum(w) AS s, sum(w * u) AS su, sum(w * u * u) AS suu, sum(w * y) AS sy, sum(w * u * y) AS suy FROM w GROUP BY i, x0, h)
+SELECT round(x0, 6) AS x0, round(h, 6) AS bandwidth, round((suu * sy - su * suy) / (s * suu - su * su), 4) AS trend FROM s
+""")
 def lowess_grid(spark: SparkSession, sf: str) -> DataFrame:
-    return residuals.local_trend(results(spark, sf), "predicted", "error")
+    out = residuals.local_trend(results(spark, sf), "predicted", "error")
+    return rounded(rounded(out, "x0", "bandwidth"), "trend", digits=4)
 
 
 @query("largest_errors", "O2", "WITH " + PREDICTED + """
