@@ -32,15 +32,21 @@ def known_groups(df: DataFrame, groups: Sequence[str]) -> DataFrame:
     return df
 
 
+def _doubles(values: Sequence[float]) -> str:
+    """A SQL array of doubles."""
+    cells = ("double(NULL)" if v is None else f"double('{float(v)!r}')" for v in values)
+    return "array(" + ", ".join(cells) + ")"
+
+
 def _edges(index: int, probs: Sequence[float]) -> Column:
-    """(lows, highs) around each wanted rank of one column, from its sketch."""
-    rows, smallest, largest, edges = (F.col(f"{stem}{index}") for stem in ("rows", "smallest", "largest", "edges"))
-    whole = rows <= WHOLE_GROUP_ROWS
-    lows = [F.when(whole | F.lit(p <= MARGIN), smallest).otherwise(edges[i]) for i, p in enumerate(probs)]
-    highs = [
-        F.when(whole | F.lit(p >= 1 - MARGIN), largest).otherwise(edges[len(probs) + i]) for i, p in enumerate(probs)
-    ]
-    return F.struct(rows.alias("rows"), F.array(*lows).alias("lows"), F.array(*highs).alias("highs"))
+    """(rows, lows, highs) around each wanted rank of one column, from its sketch."""
+    whole, edges = f"rows{index} <= {WHOLE_GROUP_ROWS}", f"edges{index}"
+    return F.expr(f"""struct(
+        rows{index} AS rows,
+        transform({_doubles(probs)}, (p, i) -> CASE WHEN {whole} OR p <= {MARGIN} THEN smallest{index}
+                  ELSE {edges}[i] END) AS lows,
+        transform({_doubles(probs)}, (p, i) -> CASE WHEN {whole} OR p >= 1 - {MARGIN} THEN largest{index}
+                  ELSE {edges}[{len(probs)} + i] END) AS highs)""")
 
 
 def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], groups: Sequence[str]) -> DataFrame:
@@ -59,11 +65,11 @@ def _brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], gro
     return wide.select(*groups, *[_edges(i, probs).alias(f"b{i}") for i in range(len(columns))])
 
 
-def _brackets_below(value: Column, highs: Column, size: int) -> Column:
+def _passed(index: int, size: int) -> Column:
     """How many brackets end below the value."""
     if size <= 8:
-        return sum(((highs[i] < value).cast("int") for i in range(1, size)), (highs[0] < value).cast("int"))
-    return F.size(F.filter(highs, lambda high: high < value))
+        return F.expr(" + ".join(f"int(highs{index}[{k}] < v{index})" for k in range(size)))
+    return F.expr(f"size(filter(highs{index}, high -> high < v{index}))")
 
 
 def _placed(values: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
@@ -74,19 +80,14 @@ def _placed(values: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
     projections stay compiled where one long expression would not.
     """
     every = range(len(columns))
-    passed = values.withColumns({
-        f"p{i}": _brackets_below(F.col(f"v{i}"), F.col(f"highs{i}"), size) for i in every
-    })
+    passed = values.withColumns({f"p{i}": _passed(i, size) for i in every})
     gaps = passed.withColumns({
-        f"gap{i}": F.when(F.col(f"v{i}").isNull(), None)
-        .when((F.col(f"p{i}") < size) & (F.col(f"v{i}") >= F.get(F.col(f"lows{i}"), F.col(f"p{i}"))), 0)
-        .otherwise(1)
+        f"gap{i}": F.expr(f"""CASE WHEN v{i} IS NULL THEN NULL
+            WHEN p{i} < {size} AND v{i} >= get(lows{i}, p{i}) THEN 0 ELSE 1 END""")
         for i in every
     })
     return gaps.withColumns({
-        f"place{i}": F.when(F.col(f"gap{i}") == 0, F.col(f"v{i}")).otherwise(
-            F.get(F.col(f"highs{i}"), F.col(f"p{i}") - 1))
-        for i in every
+        f"place{i}": F.expr(f"CASE WHEN gap{i} = 0 THEN v{i} ELSE get(highs{i}, p{i} - 1) END") for i in every
     })
 
 
@@ -118,7 +119,7 @@ def quantile_table(
     else:
         side, constants = small, small.first()
         with_edges = values.select("*", *[
-            F.lit(constants[f"b{i}"][edge]).cast("array<double>").alias(f"{edge}{i}")
+            F.expr(_doubles(constants[f"b{i}"][edge])).alias(f"{edge}{i}")
             for i in range(len(columns)) for edge in ("lows", "highs")
         ])
     placed = _placed(with_edges, columns, len(probs))
@@ -137,11 +138,9 @@ def quantile_table(
     sizes = side.select(*groups, F.explode(F.array(*[
         F.struct(F.lit(name).alias("column"), F.col(f"b{i}.rows").alias("rows")) for i, name in enumerate(columns)
     ])).alias("size")).select(*groups, "size.*")
-    ranks = [(F.col("rows") - 1) * F.lit(float(p)) for p in probs]
-    wanted = F.array(*[
-        F.struct(F.lit(2 * i + up).alias("slot"), (F.ceil(rank) if up else F.floor(rank)).alias("rank"))
-        for i, rank in enumerate(ranks) for up in (0, 1)
-    ])
+    wanted = F.expr(f"""flatten(transform({_doubles(probs)}, (p, i) -> array(
+        named_struct('slot', 2 * i, 'rank', floor((rows - 1) * p)),
+        named_struct('slot', 2 * i + 1, 'rank', ceil((rows - 1) * p)))))""")
     first, last = F.col("reached") - F.col("n"), F.col("reached")
     hits = (
         reached.join(F.broadcast(sizes) if small is not None else sizes, keys)
@@ -152,11 +151,9 @@ def quantile_table(
     found = hits.groupBy(*keys, "rows").agg(
         F.array_sort(F.collect_list(F.struct("hit.slot", value.alias("value")))).alias("found")
     )
-    answers = []
-    for i, rank in enumerate(ranks):
-        low, high = F.col("found")[2 * i]["value"], F.col("found")[2 * i + 1]["value"]
-        answers.append(low + (high - low) * (rank - F.floor(rank)))
-    return found.select(*keys, "rows", F.array(*answers).alias("q"))
+    answers = F.expr(f"""transform({_doubles(probs)}, (p, i) -> found[2 * i].value
+        + (found[2 * i + 1].value - found[2 * i].value) * ((rows - 1) * p - floor((rows - 1) * p)))""")
+    return found.select(*keys, "rows", answers.alias("q"))
 
 
 def group_quantiles(

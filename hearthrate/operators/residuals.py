@@ -206,11 +206,10 @@ def qq_table(df: DataFrame, residual: str, points: int = 99) -> DataFrame:
     """(prob, theoretical, sample): normal against sample quantiles at evenly spaced probabilities."""
     probs = [(i + 0.5) / points for i in range(points)]
     normal = NormalDist()
-    table = quantile_table(df, [residual], probs)
-    theory = F.array(*[F.lit(normal.inv_cdf(p)) for p in probs])
-    at = F.array(*[F.lit(p) for p in probs])
-    zipped = F.explode(F.arrays_zip(at.alias("prob"), theory.alias("theoretical"), F.col("q").alias("sample")))
-    return table.select(zipped.alias("z")).select("z.*")
+    rows = [(i, p, normal.inv_cdf(p)) for i, p in enumerate(probs)]
+    theory = df.sparkSession.createDataFrame(rows, "at int, prob double, theoretical double")
+    sample = quantile_table(df, [residual], probs).select(F.posexplode("q").alias("at", "sample"))
+    return theory.join(sample, "at").select("prob", "theoretical", "sample")
 
 
 def qq_fit(points: DataFrame) -> DataFrame:
@@ -238,20 +237,21 @@ def local_trend(df: DataFrame, x: str, y: str, fraction: float = 0.3, points: in
     aggregates, cells = [], []
     for i, g in enumerate(grid):
         width = max(reach[f"d{i}"], 1e-12)
-        u = F.col("x") - F.lit(g)
-        scaled = F.abs(u) / F.lit(width)
-        core = 1 - scaled * scaled * scaled
-        w = F.when(scaled < 1, core * core * core)
+        u = f"(x - double('{g!r}'))"
+        scaled = f"(abs({u}) / double('{width!r}'))"
+        core = f"(1 - {scaled} * {scaled} * {scaled})"
+        w = f"(CASE WHEN {scaled} < 1 THEN {core} * {core} * {core} END)"
         aggregates += [
-            F.sum(w).alias(f"s{i}"), F.sum(w * u).alias(f"su{i}"), F.sum(w * u * u).alias(f"suu{i}"),
-            F.sum(w * F.col("y")).alias(f"sy{i}"), F.sum(w * u * F.col("y")).alias(f"suy{i}"),
+            F.expr(f"sum({w}{factor}) AS {stem}{i}")
+            for stem, factor in (("s", ""), ("su", f" * {u}"), ("suu", f" * {u} * {u}"), ("sy", " * y"), ("suy", f" * {u} * y"))
         ]
-        s, su, suu, sy, suy = (F.col(f"{n}{i}") for n in ("s", "su", "suu", "sy", "suy"))
-        determinant = s * suu - su * su
-        line = F.try_divide(suu * sy - su * suy, F.when(F.abs(determinant) > 1e-9 * s * suu, determinant))
+        determinant = f"(s{i} * suu{i} - su{i} * su{i})"
         cells.append([
             F.lit(g).alias("x0"), F.lit(width).alias("bandwidth"),
-            F.coalesce(line, F.try_divide(sy, s)).alias("trend"),
+            F.expr(f"""coalesce(
+                CASE WHEN abs({determinant}) > 1e-9 * s{i} * suu{i}
+                     THEN try_divide(suu{i} * sy{i} - su{i} * suy{i}, {determinant}) END,
+                try_divide(sy{i}, s{i})) AS trend"""),
         ])
     chunk = 10
     parts = []

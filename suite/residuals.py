@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthrate.functions.pricing import OPEN_EDGES, OPEN_LABELS, price_bucket
 from hearthrate.operators import residuals
+from hearthrate.session import settle
 from suite.registry import query, rounded, table
 
 PREDICTED = """
@@ -143,8 +144,8 @@ SELECT round(prob, 9) AS prob, round(theoretical, 9) AS theoretical, round(sampl
 """)
 def qq_table(spark: SparkSession, sf: str) -> DataFrame:
     logs = results(spark, sf).select((F.ln("actual") - F.ln("predicted")).alias("residual"))
-    points = residuals.qq_table(logs, "residual")
-    fit = residuals.qq_fit(points)
+    points = settle(residuals.qq_table(logs, "residual"))
+    fit = settle(residuals.qq_fit(points))
     out = points.withColumns({name: fit.select(name).scalar() for name in ("slope", "intercept", "r2")})
     return rounded(rounded(out, "prob", "theoretical", digits=9), "sample", "slope", "intercept", "r2")
 
