@@ -9,7 +9,7 @@ from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hearthrate.functions.nulls import clamp, guarded_corr, ratio
+from hearthrate.functions.nulls import guarded_corr, ratio
 from hearthrate.functions.pricing import (
     BUCKET_EDGES, BUCKET_LABELS, CAPPED_CLIP, TIERS, price_bucket, price_from_log,
 )

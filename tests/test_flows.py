@@ -5,11 +5,8 @@ import gzip
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from hearthrate.functions.wording import AMENITY_PATTERNS, DESCRIPTION_PATTERNS
 from hearthrate.operators import clean, quality
-from hearthrate.operators.impute import NullPolicy
 from hearthrate.operators.panel import PANEL_COLUMNS
 from hearthrate.operators.recency import REVIEW_COLUMNS
 from hearthrate.operators.scoring import score_listings
