@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hearthrate.llm.pieces import encode_pieces, model_bytes
+from hearthrate.llm.private import find_private
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,3 +42,24 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
         F.coalesce(F.get("piece_ends", F.size("ids") - 1), F.lit(0)).cast("long").alias("n_bytes"),
     )
+
+
+def span_text(spans: str, keep: Callable | None = None) -> Column:
+    chosen = F.filter(spans, keep) if keep else F.col(spans)
+    return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def span_count(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@query()
+def op3_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_private(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[span_count("private", kind) for kind in ("email", "ip", "card", "phone")],
+        F.sha2(span_text("private", lambda s: s["base"]), 256).alias("base_sha256"),
+        span_text("private").alias("spans"),
+        F.array_join(F.transform("private", lambda s: F.format_number(s["score"], 2)), ",").alias("scores"),
+    )
