@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hearthrate.llm.fingerprints import compare_with_next
 from hearthrate.llm.pieces import encode_pieces, model_bytes
 from hearthrate.llm.private import find_private
 
@@ -63,3 +64,8 @@ def op3_private(spark: SparkSession, sf_dir: str) -> DataFrame:
         span_text("private").alias("spans"),
         F.array_join(F.transform("private", lambda s: F.format_number(s["score"], 2)), ",").alias("scores"),
     )
+
+
+@query()
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(read(spark, sf_dir, "documents", "doc_id", "text"))
