@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hearthrate.llm.fingerprints import compare_with_next
+from hearthrate.llm.language import identify
 from hearthrate.llm.pieces import encode_pieces, model_bytes
 from hearthrate.llm.private import find_private
+from hearthrate.llm.secrets import INFERRED, find_secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,3 +71,20 @@ def op3_private(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[span_count("secrets", kind) for kind in ("assign", "access", "hex")],
+        F.sha2(span_text("secrets", lambda s: s["kind"] != INFERRED), 256).alias("base_sha256"),
+        span_text("secrets").alias("spans"),
+    )
+
+
+@query()
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return identify(docs, model_bytes(public_tokenizers.path(PIECE_MODEL))).select("doc_id", "held_out", "lang_pred", "score")
