@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hearthrate.llm.fingerprints import compare_with_next
 from hearthrate.llm.language import identify
+from hearthrate.llm.near_dedup import near_duplicates
 from hearthrate.llm.pieces import encode_pieces, model_bytes
 from hearthrate.llm.private import find_private
 from hearthrate.llm.secrets import INFERRED, find_secrets
@@ -17,6 +18,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
+# Bytes 0x09-0x0D and 0x20 part words; the rest is as in the operators.
+WORDS_SQL = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+
 PIECE_MODEL = "piece_bpe_32k.model"
 
 
@@ -88,3 +92,18 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     return identify(docs, model_bytes(public_tokenizers.path(PIECE_MODEL))).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("""
+WITH RECURSIVE w AS (SELECT doc_id, """ + WORDS_SQL.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") + """ AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
+FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+""")
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
