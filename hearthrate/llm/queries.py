@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hearthrate.llm.fingerprints import compare_with_next
 from hearthrate.llm.language import identify
+from hearthrate.llm.lm import score_documents
 from hearthrate.llm.near_dedup import near_duplicates
 from hearthrate.llm.pieces import encode_pieces, model_bytes
 from hearthrate.llm.private import find_private
@@ -107,3 +108,8 @@ FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_
 """)
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read(spark, sf_dir, "documents", "doc_id", "text"), model_bytes(public_tokenizers.path(PIECE_MODEL)))
