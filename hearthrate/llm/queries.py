@@ -14,6 +14,7 @@ from hearthrate.llm.near_dedup import near_duplicates
 from hearthrate.llm.pieces import encode_pieces, model_bytes
 from hearthrate.llm.private import find_private
 from hearthrate.llm.secrets import INFERRED, find_secrets
+from hearthrate.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,3 +114,19 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read(spark, sf_dir, "documents", "doc_id", "text"), model_bytes(public_tokenizers.path(PIECE_MODEL)))
+
+
+@query("""
+WITH w AS (SELECT doc_id, """ + WORDS_SQL.format(text="coalesce(text, '')") + """ AS w FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS p, w FROM w WHERE len(w) >= 13),
+h AS (SELECT doc_id, p, sha256(array_to_string(w[p:p + 12], ' ')) AS h FROM win),
+low AS (SELECT h, min(doc_id) AS low FROM h GROUP BY h),
+hit AS (SELECT doc_id, list(p) AS ps FROM h JOIN low USING (h) WHERE low < doc_id GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(ps) + o AS k FROM hit, range(13) t(o)),
+k AS (SELECT w.doc_id, unnest(range(1, len(w) + 1)) AS k, unnest(w) AS word FROM w),
+kept AS (SELECT k.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k.k) AS t FROM k ANTI JOIN gone ON k.doc_id = gone.doc_id AND k.k = gone.k GROUP BY k.doc_id)
+SELECT w.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""")
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))

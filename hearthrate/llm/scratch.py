@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from hearthrate.session import scratch_path
@@ -32,3 +34,12 @@ class Scratch:
         for df in stored:
             path = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def release_shuffles(self) -> None:
+        """Let Spark delete shuffle files that no plan refers to any more.
+
+        It does so when the driver's garbage is collected, which between two
+        long stages may be late for the executors' disks.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
