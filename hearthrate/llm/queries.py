@@ -11,6 +11,7 @@ from hearthrate.llm.fingerprints import compare_with_next
 from hearthrate.llm.language import identify
 from hearthrate.llm.lm import score_documents
 from hearthrate.llm.near_dedup import near_duplicates
+from hearthrate.llm.nearest import nearest
 from hearthrate.llm.pieces import encode_pieces, model_bytes
 from hearthrate.llm.private import find_private
 from hearthrate.llm.secrets import INFERRED, find_secrets
@@ -130,3 +131,8 @@ FROM w LEFT JOIN kept USING (doc_id)
 """)
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
