@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from hearthrate.llm.fingerprints import compare_with_next
 from hearthrate.llm.language import identify
 from hearthrate.llm.lm import score_documents
+from hearthrate.llm.mixing import mix_sources
 from hearthrate.llm.near_dedup import near_duplicates
 from hearthrate.llm.nearest import nearest
 from hearthrate.llm.pieces import encode_pieces, model_bytes
@@ -136,3 +137,22 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled table's domain of each document: toxic, or else high or low quality."""
+    return read(spark, sf_dir, "labels").select(
+        "doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "high").otherwise("low").alias("domain"))
+
+
+# Shares of tokens the mixed corpus should have.
+MIX_WEIGHTS = {"high": 0.80, "low": 0.15, "toxic": 0.05}
+
+
+@query()
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated, mix = mix_sources(read(spark, sf_dir, "documents", "doc_id", "text"), domains(spark, sf_dir), weights=MIX_WEIGHTS)
+    return rated.select(
+        "doc_id", "tokens", *[F.get("posteriors", i).alias(f"p_{name}") for i, name in enumerate(mix.names)], "rate",
+        *[F.lit(float(t)).alias(f"target_{name}") for name, t in zip(mix.names, mix.targets)],
+    )
