@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hearthrate.operators.skew import fetch_small
+from hearthrate.operators.skew import small_side
 
 # Bins are found in two steps of this many comparisons each.
 STEP = 15
@@ -42,8 +42,8 @@ def running_totals(
     from ``cut_points``. Any cuts give the right totals; good ones even the load.
     """
     keys = list(groups)
-    small = fetch_small(cuts)
-    binned = counts.join(F.broadcast(small) if small is not None else cuts, keys)
+    cuts, small = small_side(cuts)
+    binned = counts.join(F.broadcast(cuts) if small else cuts, keys)
     binned = binned.withColumn("_bin", _bin_of(F.col(value), F.col("cuts"))).drop("cuts")
 
     per_bin = binned.groupBy(*keys, "_bin").agg(*[F.sum(t).alias(f"_sum_{t}") for t in totals])
@@ -53,7 +53,7 @@ def running_totals(
     )
     within = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     # At most BINS rows per group, so the number of groups bounds this side.
-    few_groups = small is not None and small.count() * BINS <= OFFSET_ROWS
+    few_groups = small and cuts.count() * BINS <= OFFSET_ROWS
     placed = binned.join(F.broadcast(offsets) if few_groups else offsets, [*keys, "_bin"])
     return placed.select(
         *counts.columns,

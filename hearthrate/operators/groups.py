@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hearthrate.functions.nulls import number, ratio
 from hearthrate.operators.quantiles import group_quantiles, quantile_table
-from hearthrate.operators.skew import fetch_small, lookup_join
+from hearthrate.operators.skew import lookup_join, sized
 
 # The sample size below which a group median is marked, and the note.
 SMALL_SAMPLE = 10
@@ -159,9 +159,7 @@ def missing_groups(everything: DataFrame, part: DataFrame, group: str) -> DataFr
 
 def keep_members(df: DataFrame, members: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in the member set."""
-    small = fetch_small(members.select(key).distinct())
-    side = F.broadcast(small) if small is not None else members.select(key).distinct()
-    return df.join(side, key, "left_semi")
+    return df.join(sized(members.select(key).distinct()), key, "left_semi")
 
 
 def align_to_keys(keys: DataFrame, values: DataFrame, key: str, fill: dict[str, Column | float | int]) -> DataFrame:

@@ -1,9 +1,9 @@
 """Features of a (key, date) availability panel.
 
 Rates are one hash aggregate with map-side partials. Streaks need row order, so
-a key that holds a large share of the panel is cut into date chunks: each chunk
-is ordered on its own, and a streak that crosses a chunk edge is joined again
-from the first and last state of the chunks.
+every key is cut into calendar chunks: each chunk is ordered on its own, and a
+streak that crosses a chunk edge is joined again from the first and last state
+of the chunks. No key is special, whatever share of the panel it holds.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from hearthrate.functions.calendar import is_off_season, is_peak, is_weekend_night
 from hearthrate.functions.nulls import clamp, flag, number, ratio
 from hearthrate.operators.impute import fill_with_medians
-from hearthrate.operators.skew import HOT_KEY_ROWS, hot_keys, order_chunk
 from hearthrate.session import cut_lineage
 
+# Names of the output columns.
 RATE_COLUMNS = (
     "overall_availability_rate", "peak_availability_rate", "off_availability_rate", "pct_weekend_available",
 )
@@ -59,19 +59,20 @@ def blocked_streaks(
     ties: Sequence[str],
     blocked: Column,
     consecutive_dates: bool = False,
-    hot_above: int = HOT_KEY_ROWS,
+    chunk: str = "month",
 ) -> DataFrame:
     """(key, dates, blocked_dates, streaks, consecutive_blocked_rate) per key.
 
     The rate is mean streak length over dates. Mean streak length is blocked
     rows over streaks, so counting the rows that open a streak is enough.
     ``ties`` must make the order within a key unique. With
-    ``consecutive_dates`` a missing day also ends a streak.
+    ``consecutive_dates`` a missing day also ends a streak. ``chunk`` is the calendar
+    unit whose rows of one key are ordered in one task; a panel of timestamps
+    takes a smaller one, such as ``hour``.
     """
     ties = [t for t in ties if t not in (key, date)]
     slim = panel.where(F.col(key).isNotNull()).select(key, date, *ties, flag(blocked).alias("_blocked"))
-    chunk = order_chunk(key, F.to_date(date), hot_keys(slim, key, hot_above))
-    rows = slim.withColumn("_chunk", chunk)
+    rows = slim.withColumn("_chunk", F.date_trunc(chunk, date))
 
     order = [date, *ties]
     in_chunk = Window.partitionBy(key, "_chunk").orderBy(*order)
@@ -129,11 +130,11 @@ def panel_features(
     blocked: Column,
     minimum_nights: str,
     prices: DataFrame | None = None,
-    hot_above: int = HOT_KEY_ROWS,
+    chunk: str = "month",
 ) -> DataFrame:
     """All panel features per key. ``prices`` holds (key, price), one row per key."""
     rates = panel_rates(panel, key, date, available, minimum_nights)
-    streaks = blocked_streaks(panel, key, date, ties, blocked, hot_above=hot_above)
+    streaks = blocked_streaks(panel, key, date, ties, blocked, chunk=chunk)
     joined = rates.join(streaks.select(key, "consecutive_blocked_rate"), key)
     if prices is None:
         joined = joined.withColumn("price", F.lit(None).cast("double"))

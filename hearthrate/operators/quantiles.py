@@ -1,28 +1,36 @@
 """Exact quantiles without gathering a group in one task.
 
-Two passes. The first builds Spark's mergeable quantile sketch and turns each
-wanted quantile into a bracket of values that must contain it. The second counts
-values inside the brackets exactly and everything between them as one number, so
-only a sliver of the rows is shuffled and ordered, however large the group is.
+Three narrow passes. The first builds Spark's mergeable quantile sketch and turns
+each wanted quantile into a bracket of values that must contain it. The second
+counts the values below each bracket's ends, which also proves every bracket. The
+third takes only the values inside a bracket; these are counted by value and
+ordered within bins of their bracket, so no task orders a whole bracket either.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hearthrate.functions.nulls import number
-from hearthrate.operators.skew import fetch_small
+from hearthrate.operators.skew import small_side
+from hearthrate.session import settle
 
 SKETCH_ACCURACY = 10_000
 # Bracket half-width in ranks per row: four times the error the sketch promises.
 MARGIN = 4 / SKETCH_ACCURACY
 # Groups up to this size are counted whole: margins below two ranks prove nothing.
 WHOLE_GROUP_ROWS = 10_000
-# Columns per pass.
+# Columns per pass, and quantiles times columns per pass.
 COLUMN_CHUNK = 60
+EDGE_CHUNK = 240
+# Up to so many quantiles are counted by one comparison each.
+FEW_PROBS = 8
+# Bins of equal width that a bracket's values are ordered in.
+BINS = 64
 
 
 def known_groups(df: DataFrame, groups: Sequence[str]) -> DataFrame:
@@ -39,10 +47,10 @@ def _doubles(values: Sequence[float]) -> str:
 
 
 def _edges(index: int, probs: Sequence[float]) -> Column:
-    """(rows, lows, highs) around each wanted rank of one column, from its sketch."""
+    """(rows, smallest, largest, lows, highs) around each wanted rank of one column, from its sketch."""
     whole, edges = f"rows{index} <= {WHOLE_GROUP_ROWS}", f"edges{index}"
     return F.expr(f"""struct(
-        rows{index} AS rows,
+        rows{index} AS rows, smallest{index} AS smallest, largest{index} AS largest,
         transform({_doubles(probs)}, (p, i) -> CASE WHEN {whole} OR p <= {MARGIN} THEN smallest{index}
                   ELSE {edges}[i] END) AS lows,
         transform({_doubles(probs)}, (p, i) -> CASE WHEN {whole} OR p >= 1 - {MARGIN} THEN largest{index}
@@ -72,24 +80,100 @@ def _passed(index: int, size: int) -> Column:
     return F.expr(f"size(filter(highs{index}, high -> high < v{index}))")
 
 
-def _placed(values: DataFrame, columns: Sequence[str], size: int) -> DataFrame:
-    """Replace ``v<i>`` by ``place<i>`` and ``gap<i>``, where its value counts.
+def _beyond(index: int, lows: Sequence[Column], highs: Sequence[Column]) -> list[Column]:
+    """Aggregates: how many values lie below each bracket, and up to its end."""
+    value = F.col(f"v{index}")
+    under = [F.count(F.when(value < low, 1)) for low in lows]
+    upto = [F.count(F.when(value <= high, 1)) for high in highs]
+    return [F.array(*under).alias(f"under{index}"), F.array(*upto).alias(f"upto{index}")]
 
-    In a bracket a value stands for itself (gap 0); between brackets the edge
-    below represents it (gap 1), or NULL below the first bracket. Three short
-    projections stay compiled where one long expression would not.
+
+def _counts(values: DataFrame, brackets: DataFrame, small: bool, groups: Sequence[str], count: int, probs: int) -> DataFrame:
+    """(groups, under<i>, upto<i>) of every column; without groups the edges are constants."""
+    if groups:
+        edged = _edge_columns(values, brackets, small, groups, count)
+        sides = [[[F.get(f"{edge}{i}", k) for k in range(probs)] for edge in ("lows", "highs")] for i in range(count)]
+        return edged.groupBy(*groups).agg(*[part for i in range(count) for part in _beyond(i, *sides[i])])
+    row = brackets.first()
+    bounds = [[[F.lit(x).cast("double") for x in row[f"b{i}"][edge] or [None] * probs] for edge in ("lows", "highs")] for i in range(count)]
+    return values.agg(*[part for i in range(count) for part in _beyond(i, *bounds[i])])
+
+
+def _proven(index: int, probs: Sequence[float]) -> Column:
+    """(rows, lows, highs, base): brackets that hold their ranks, and the rank each one's first value has.
+
+    Should a sketch have missed, the counts show it, and the column's brackets become
+    the whole range of its values: slower, still exact.
     """
-    every = range(len(columns))
-    passed = values.withColumns({f"p{i}": _passed(i, size) for i in every})
-    gaps = passed.withColumns({
-        f"gap{i}": F.expr(f"""CASE WHEN v{i} IS NULL THEN NULL
-            WHEN p{i} < {size} AND v{i} >= get(lows{i}, p{i}) THEN 0 ELSE 1 END""")
-        for i in every
-    })
-    return gaps.withColumns({
-        f"place{i}": F.expr(f"CASE WHEN gap{i} = 0 THEN v{i} ELSE get(highs{i}, p{i} - 1) END") for i in every
+    b, wanted = f"b{index}", _doubles(probs)
+    missed = f"""exists(transform({wanted}, (p, i) -> floor(({b}.rows - 1) * p) < under{index}[i]
+        OR ceil(({b}.rows - 1) * p) >= upto{index}[i]), miss -> miss)"""
+    return F.expr(f"""struct({b}.rows AS rows,
+        CASE WHEN {missed} THEN transform({wanted}, p -> {b}.smallest) ELSE {b}.lows END AS lows,
+        CASE WHEN {missed} THEN transform({wanted}, p -> {b}.largest) ELSE {b}.highs END AS highs,
+        transform({wanted}, (p, i) -> CASE WHEN i = 0 THEN CASE WHEN {missed} THEN 0L ELSE under{index}[0] END
+            ELSE greatest(under{index}[i], upto{index}[i - 1]) END) AS base)""")
+
+
+def _proven_by_place(values: DataFrame, brackets: DataFrame, probs: Sequence[float], count: int) -> DataFrame:
+    """As ``_proven`` for many quantiles of ungrouped columns, from one narrow count.
+
+    Values are counted by the bracket they lie in or before: at most two rows
+    for each quantile and column come to the driver.
+    """
+    placed = _edge_columns(values, brackets, True, (), count).withColumns({f"p{i}": _passed(i, len(probs)) for i in range(count)})
+    placed = placed.withColumns({f"in{i}": F.col(f"v{i}") >= F.get(f"lows{i}", F.col(f"p{i}")) for i in range(count)})
+    cells = F.array(*[F.struct(F.lit(i).alias("at"), F.col(f"p{i}").alias("p"), F.coalesce(f"in{i}", F.lit(False)).alias("inside"), F.col(f"v{i}").isNotNull().alias("known")) for i in range(count)])
+    rows = placed.select(F.explode(cells).alias("c")).where("c.known").groupBy("c.at", "c.p", "c.inside").count().collect()
+    state, known = {}, brackets.first()
+    for i in range(count):
+        b, m = known[f"b{i}"], len(probs)
+        held = [[0, 0] for _ in range(m + 1)]
+        for r in rows:
+            if r["at"] == i:
+                held[r["p"]][r["inside"]] += r["count"]
+        before = [sum(map(sum, held[:k])) for k in range(m + 2)]
+        base, end = [before[k] + held[k][0] for k in range(m)], before[1:m + 1]
+        ranks = {e for p in probs for e in (math.floor((b["rows"] - 1) * p), math.ceil((b["rows"] - 1) * p))} if b["rows"] else set()
+        spans = [(x, y) for x, y in zip(base, end) if x < y]
+        if all(any(x <= r < y for x, y in spans) for r in ranks):
+            state[f"b{i}"] = (b["rows"], b["lows"], b["highs"], base)
+        else:
+            state[f"b{i}"] = (b["rows"], [b["smallest"]] * m, [b["largest"]] * m, [0] + [b["rows"]] * (m - 1))
+    schema = ", ".join(f"b{i} struct<rows:bigint,lows:array<double>,highs:array<double>,base:array<bigint>>" for i in range(count))
+    return values.sparkSession.createDataFrame([tuple(state[f"b{i}"] for i in range(count))], schema)
+
+
+def _edge_columns(values: DataFrame, state: DataFrame, small: bool, groups: Sequence[str], count: int) -> DataFrame:
+    """Add ``lows<i>`` and ``highs<i>`` of the row's group to the values ``v<i>``."""
+    edges = ("lows", "highs")
+    if groups:
+        side = state.select(*groups, *[F.col(f"b{i}.{edge}").alias(f"{edge}{i}") for i in range(count) for edge in edges])
+        return values.join(F.broadcast(side) if small else side, list(groups))
+    constants = state.first()
+    return values.select("*", *[
+        F.expr(_doubles(constants[f"b{i}"][edge] or [])).alias(f"{edge}{i}") for i in range(count) for edge in edges
+    ])
+
+
+def _inside(values: DataFrame, count: int, probs: int, groups: Sequence[str]) -> DataFrame:
+    """(groups, at, slot, bin, value) of every value that lies in a bracket of its column ``at``."""
+    every = range(count)
+    passed = values.withColumns({f"p{i}": _passed(i, probs) for i in every})
+    low, high = (lambda i: F.get(f"lows{i}", F.col(f"p{i}"))), (lambda i: F.get(f"highs{i}", F.col(f"p{i}")))
+    inside = passed.withColumns({
+        f"in{i}": F.coalesce((F.col(f"p{i}") < probs) & (F.col(f"v{i}") >= low(i)), F.lit(False)) for i in every
     })
 
+    def cell(i: int) -> Column:
+        share = F.try_divide(F.col(f"v{i}") - low(i), high(i) - low(i))
+        place = F.when(share.between(0.0, 1.0), F.floor(share * (BINS - 1))).otherwise(0)
+        return F.when(F.col(f"in{i}"), F.struct(
+            F.lit(i).alias("at"), F.col(f"p{i}").alias("slot"), place.cast("int").alias("bin"), F.col(f"v{i}").alias("value")))
+
+    # A row without such a value has an empty array and ends here; a filter would compute the places twice.
+    return inside.select(*groups, F.explode(F.array_compact(F.array(*[cell(i) for i in every]))).alias("cell")).select(*groups, "cell.*")
+
 
 def quantile_table(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], groups: Sequence[str] = ()
@@ -101,59 +185,48 @@ def quantile_table(
     """
     if list(probs) != sorted(probs):
         raise ValueError("probs must ascend")
-    if len(columns) > COLUMN_CHUNK:
-        parts = [columns[i : i + COLUMN_CHUNK] for i in range(0, len(columns), COLUMN_CHUNK)]
+    width = max(1, min(COLUMN_CHUNK, EDGE_CHUNK // len(probs)))
+    if len(columns) > width:
+        parts = [columns[i : i + width] for i in range(0, len(columns), width)]
         return reduce(DataFrame.unionByName, [quantile_table(df, part, probs, groups) for part in parts])
-    groups = list(groups)
+    groups, every = list(groups), range(len(columns))
     kept = known_groups(df, groups)
-    brackets = _brackets(kept, columns, probs, groups)
-    # Without groups this is one row; with few groups it is a side of checked size.
-    small = fetch_small(brackets)
     values = kept.select(*groups, *[number(kept, c).alias(f"v{i}") for i, c in enumerate(columns)])
-    if groups:
-        side = F.broadcast(small) if small is not None else brackets
-        edges = side.select(*groups, *[
-            F.col(f"b{i}.{edge}").alias(f"{edge}{i}") for i in range(len(columns)) for edge in ("lows", "highs")
-        ])
-        with_edges = values.join(edges, groups)
+    brackets, small = small_side(_brackets(kept, columns, probs, groups)) if groups else (settle(_brackets(kept, columns, probs, ())), True)
+    if not groups and len(probs) > FEW_PROBS:
+        state = _proven_by_place(values, brackets, probs, len(columns))
     else:
-        side, constants = small, small.first()
-        with_edges = values.select("*", *[
-            F.expr(_doubles(constants[f"b{i}"][edge])).alias(f"{edge}{i}")
-            for i in range(len(columns)) for edge in ("lows", "highs")
-        ])
-    placed = _placed(with_edges, columns, len(probs))
-    cells = [part for i, name in enumerate(columns) for part in (F.lit(name), F.col(f"place{i}"), F.col(f"gap{i}"))]
-    keys = [*groups, "column"]
-    counted = (
-        placed.select(*groups, F.stack(F.lit(len(columns)), *cells).alias("column", "place", "gap"))
-        .where(F.col("gap").isNotNull())
-        .groupBy(*keys, "place", "gap")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    along = Window.partitionBy(*keys).orderBy(F.col("place").asc_nulls_first(), "gap")
-    reached = counted.withColumn("reached", F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        counts = _counts(values, brackets, small, groups, len(columns), len(probs))
+        both = brackets.join(counts, groups) if groups else brackets.crossJoin(counts)
+        proven = both.select(*groups, *[_proven(i, probs).alias(f"b{i}") for i in every])
+        state, small = small_side(proven) if groups else (settle(proven), True)
+
+    # In order: slots, bins of a slot, values of a bin. Only values of one bin meet in a task.
+    chosen = _inside(_edge_columns(values, state, small or not groups, groups, len(columns)), len(columns), len(probs), groups)
+    keys = [*groups, "at"]
+    counted = chosen.groupBy(*keys, "slot", "bin", "value").agg(F.count(F.lit(1)).alias("n"))
+    per_bin = counted.groupBy(*keys, "slot", "bin").agg(F.sum("n").alias("held"))
+    earlier = Window.partitionBy(*keys, "slot").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bin.select(*keys, "slot", "bin", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("offset"))
+    starts = state.select(*groups, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("at"), F.col(f"b{i}.rows").alias("rows"), F.col(f"b{i}.base").alias("base")) for i in every
+    ])).alias("start")).select(*groups, "start.*")
+    along = Window.partitionBy(*keys, "slot", "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ordered = counted.withColumn("within", F.sum("n").over(along)).join(offsets, [*keys, "slot", "bin"])
+    ordered = ordered.join(F.broadcast(starts) if small else starts, keys)
 
     # Each counted value answers the wanted ranks it covers: at most two per quantile and group.
-    sizes = side.select(*groups, F.explode(F.array(*[
-        F.struct(F.lit(name).alias("column"), F.col(f"b{i}.rows").alias("rows")) for i, name in enumerate(columns)
-    ])).alias("size")).select(*groups, "size.*")
+    last = F.get("base", F.col("slot")) + F.col("offset") + F.col("within")
     wanted = F.expr(f"""flatten(transform({_doubles(probs)}, (p, i) -> array(
-        named_struct('slot', 2 * i, 'rank', floor((rows - 1) * p)),
-        named_struct('slot', 2 * i + 1, 'rank', ceil((rows - 1) * p)))))""")
-    first, last = F.col("reached") - F.col("n"), F.col("reached")
-    hits = (
-        reached.join(F.broadcast(sizes) if small is not None else sizes, keys)
-        .withColumn("hit", F.explode(F.filter(wanted, lambda w: (w["rank"] >= first) & (w["rank"] < last))))
-    )
-    miss = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
-    value = F.when(F.col("gap") == 0, F.col("place")).otherwise(miss)
-    found = hits.groupBy(*keys, "rows").agg(
-        F.array_sort(F.collect_list(F.struct("hit.slot", value.alias("value")))).alias("found")
-    )
+        named_struct('place', 2 * i, 'rank', floor((rows - 1) * p)),
+        named_struct('place', 2 * i + 1, 'rank', ceil((rows - 1) * p)))))""")
+    hits = ordered.withColumn("last", last).withColumn(
+        "hit", F.explode(F.filter(wanted, lambda w: (w["rank"] >= F.col("last") - F.col("n")) & (w["rank"] < F.col("last")))))
+    found = hits.groupBy(*keys, "rows").agg(F.array_sort(F.collect_list(F.struct("hit.place", "value"))).alias("found"))
     answers = F.expr(f"""transform({_doubles(probs)}, (p, i) -> found[2 * i].value
         + (found[2 * i + 1].value - found[2 * i].value) * ((rows - 1) * p - floor((rows - 1) * p)))""")
-    return found.select(*keys, "rows", answers.alias("q"))
+    name = F.get(F.array(*[F.lit(c) for c in columns]), F.col("at"))
+    return found.select(*groups, name.alias("column"), "rows", answers.alias("q"))
 
 
 def group_quantiles(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import statistics
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -21,23 +20,40 @@ LEAKAGE_WARNING = 0.50
 
 @dataclass
 class Selection:
-    """Chosen features, the columns to output, and why the others went."""
+    """Chosen features, the columns to output, and the drop log: feature → (reason, other feature, value)."""
 
     selected: list[str]
     columns: list[str]
-    low_variance: list[tuple[str, float, float]] = field(default_factory=list)
-    correlated: list[tuple[str, str, float]] = field(default_factory=list)
+    dropped: dict[str, tuple[str, str | None, float]] = field(default_factory=dict)
 
     def transform(self, df: DataFrame) -> DataFrame:
         return df.select(*self.columns)
 
     def report(self, df: DataFrame) -> DataFrame:
         """(feature, reason, other, value) of every dropped feature."""
-        rows = [(c, "low_variance", None, v) for c, v, _ in self.low_variance]
-        rows += [(c, "correlated", other, r) for c, other, r in self.correlated]
+        rows = [(feature, *why) for feature, why in self.dropped.items()]
         return df.sparkSession.createDataFrame(rows, "feature string, reason string, other string, value double")
 
 
+def _near_constant(df: DataFrame, columns: Sequence[str], fraction: float) -> dict[str, float]:
+    """Columns whose variance is below ``fraction`` of the median variance, with their variance."""
+    if not columns:
+        return {}
+    spread = column_stats(df, columns).where(F.col("variance").isNotNull()).select("column", "variance")
+    bound = spread.agg(F.percentile("variance", 0.5) * fraction)
+    return {row["column"]: row["variance"] for row in spread.where(F.col("variance") < bound.scalar()).collect()}
+
+
+def _strong_partners(df: DataFrame, columns: Sequence[str], limit: float) -> dict[str, dict[str, float]]:
+    """For each column the earlier ones it is correlated with above the limit; only those pairs leave Spark."""
+    partners: dict[str, dict[str, float]] = {}
+    if len(columns) > 1:
+        strong = correlation_matrix(df, columns).where((F.col("a") != F.col("b")) & (F.abs("r") > limit) & ~F.isnan("r"))
+        for row in strong.select("a", "b", F.abs("r").alias("r")).collect():
+            partners.setdefault(row["b"], {})[row["a"]] = row["r"]
+    return partners
+
+
 def select_features(
     df: DataFrame,
     target: str = "price",
@@ -46,35 +62,24 @@ def select_features(
     correlation_limit: float = CORRELATION_LIMIT,
     variance_fraction: float = VARIANCE_FRACTION,
 ) -> Selection:
-    """Drop near-constant numeric columns, then the later one of each highly correlated pair."""
+    """Leave out near-constant numeric columns, and each column too close to an earlier one that stays."""
     numeric = numeric_columns(df)
-    pinned = [c for c in numeric if c in always_keep]
-    candidates = [c for c in numeric if c not in (target, key, *always_keep)]
-
-    variances = {row["column"]: row["variance"] for row in column_stats(df, candidates).collect()} if candidates else {}
-    known = [v for v in variances.values() if v is not None]
-    threshold = variance_fraction * statistics.median(known) if known else 0.0
-    low = [(c, variances[c], threshold) for c in candidates if variances[c] is not None and variances[c] < threshold]
-    low_names = {c for c, _, _ in low}
-    varied = [c for c in candidates if c not in low_names]
-
-    strength = {(row["a"], row["b"]): row["r"] for row in correlation_matrix(df, varied).collect()}
-    gone: dict[str, tuple[str, float]] = {}
-    for i, first in enumerate(varied):
-        if first in gone:
-            continue
-        for second in varied[i + 1 :]:
-            r = strength[first, second]
-            if second not in gone and r is not None and abs(r) > correlation_limit:
-                gone[second] = (first, round(abs(r), 4))
-
-    selected = pinned + [c for c in varied if c not in gone]
-    keep = {*selected, key, target} | {c for c in df.columns if c not in numeric}
+    judged = [c for c in numeric if c not in {target, key, *always_keep}]
+    flat = _near_constant(df, judged, variance_fraction)
+    dropped: dict[str, tuple[str, str | None, float]] = {c: ("low_variance", None, flat[c]) for c in judged if c in flat}
+    partners = _strong_partners(df, [c for c in judged if c not in flat], correlation_limit)
+    staying: dict[str, None] = {}
+    for column in (c for c in judged if c not in flat):
+        near = partners.get(column, {})
+        rival = next((c for c in staying if c in near), None)
+        if rival is None:
+            staying[column] = None
+        else:
+            dropped[column] = ("correlated", rival, round(near[rival], 4))
     return Selection(
-        selected=selected,
-        columns=[c for c in df.columns if c in keep],
-        low_variance=low,
-        correlated=[(c, other, r) for c, (other, r) in gone.items()],
+        selected=[c for c in numeric if c in always_keep] + list(staying),
+        columns=[c for c in df.columns if c not in dropped],
+        dropped=dropped,
     )
 
 

@@ -1,28 +1,33 @@
-"""Size checks that decide between a broadcast and a shuffle, and hot-key detection."""
+"""Size checks that decide between a broadcast and a shuffle."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from hearthrate.session import SMALL_SIDE_ROWS
+from hearthrate.session import SMALL_SIDE_BYTES, SMALL_SIDE_ROWS
 
-# A key above this many rows gets its ordered work split into chunks.
-HOT_KEY_ROWS = 1_000_000
-# More hot keys than this would each hold under 1/10,000 of the table.
-HOT_KEY_LIST = 10_000
 
+def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS, max_bytes: int = SMALL_SIDE_BYTES) -> tuple[DataFrame, bool]:
+    """``df`` computed once, and whether it is small in rows and bytes.
 
-def fetch_small(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame | None:
-    """``df`` as a local relation if it has at most ``max_rows`` rows, else None.
-
-    The driver never holds more than ``max_rows + 1`` rows.
+    A small one comes back as a local relation. Any other stays cached where it
+    was computed, so that the shuffle path does not compute it again. The driver
+    never holds more than ``max_rows + 1`` rows.
     """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    held = df.persist()
+    rows = held.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
+        return held, False
+    held.unpersist()
+    return df.sparkSession.createDataFrame(rows, df.schema), True
+
+
+def sized(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it was measured to be small."""
+    side, small = small_side(df, max_rows)
+    return F.broadcast(side) if small else side
 
 
 def lookup_join(
@@ -33,24 +38,4 @@ def lookup_join(
     A side measured to be small is broadcast. Any other is joined by shuffle,
     where adaptive execution splits a partition that one hot key inflates.
     """
-    small = fetch_small(side, max_rows)
-    if small is not None:
-        return facts.join(F.broadcast(small), list(keys), how)
-    return facts.join(side, list(keys), how)
-
-
-def hot_keys(df: DataFrame, key: str, above: int = HOT_KEY_ROWS, at_most: int = HOT_KEY_LIST) -> list:
-    """Keys with more than ``above`` rows, largest first (map-side combined count)."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    top = counts.where(F.col("rows") > above).orderBy(F.desc("rows"), key).limit(at_most).collect()
-    return [row[key] for row in top]
-
-
-def order_chunk(key: str, chunk: Column, hot: Sequence) -> Column:
-    """The chunk of a row for hot keys; one constant chunk for all others.
-
-    ``chunk`` must not decrease along the order of the key's rows.
-    """
-    if not hot:
-        return F.lit(None).cast("string")
-    return F.when(F.col(key).isin(list(hot)), chunk.cast("string"))
+    return facts.join(sized(side, max_rows), list(keys), how)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -9,6 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Row budget of a side that may be collected and sent to every executor.
 SMALL_SIDE_ROWS = 5_000
+SMALL_SIDE_BYTES = 32 << 20
+# Rows of a result that may be brought to the driver.
+RESULT_ROWS = 100_000
+# The scratch folders of local sessions, one for each application.
+_LOCAL: dict[str, str] = {}
 
 
 def build_session(app: str = "hearthrate", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -32,15 +40,20 @@ def build_session(app: str = "hearthrate", cores: str = "*", shuffle_partitions:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local
-    master may fall back to a temporary folder of the machine.
+    It is the one the cluster names in ``spark.checkpoint.dir``, or else the
+    checkpoint folder set on the context. Only a local master may fall back to a
+    temporary folder of the machine: one for each application, deleted at exit.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="hearthrate-")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="hearthrate-")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+    return _LOCAL[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -48,9 +61,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/hearthrate-{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, *cached: DataFrame) -> DataFrame:
-    """Compute a small result now and release the tables cached for it."""
-    rows = df.toArrow()
+def settle(df: DataFrame, *cached: DataFrame, at_most: int = RESULT_ROWS) -> DataFrame:
+    """Compute a small result now and release the tables cached for it.
+
+    A result of more than ``at_most`` rows is an error: it must stay distributed.
+    """
+    rows = df.limit(at_most + 1).toArrow()
+    if rows.num_rows > at_most:
+        raise ValueError(f"a result to settle has more than {at_most} rows")
     for table in cached:
         table.unpersist()
     return df.sparkSession.createDataFrame(rows, df.schema)

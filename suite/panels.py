@@ -64,7 +64,7 @@ SELECT l_partkey, dates, blocked_dates, streaks, round(consecutive_blocked_rate,
 """)
 def blocked_streak_rate_split(spark: SparkSession, sf: str) -> DataFrame:
     """The same with every larger key handled as a hot one."""
-    out = panel.blocked_streaks(lines(spark, sf), KEY, DATE, TIES, blocked(), hot_above=30)
+    out = panel.blocked_streaks(lines(spark, sf), KEY, DATE, TIES, blocked(), chunk="day")
     return rounded(out, "consecutive_blocked_rate", digits=9)
 
 

@@ -90,7 +90,7 @@ def test_feature_table(features):
     assert frame["price"].min() >= 15
     assert "peak_demand_score" not in frame and "description" not in frame
     numbers = {*DESCRIPTION_PATTERNS, *AMENITY_PATTERNS, *PANEL_COLUMNS, *REVIEW_COLUMNS}
-    dropped = {c for c, _, _ in built.selection.low_variance} | {c for c, _, _ in built.selection.correlated}
+    dropped = set(built.selection.dropped)
     assert numbers - dropped - {"peak_demand_score", "estimated_annual_revenue"} <= set(frame.columns)
     assert frame["bathrooms_text"].notna().all()
 

@@ -31,7 +31,7 @@ def test_global_quantiles_match_numpy(spark):
 @pytest.mark.parametrize("limit", [0, 5000])
 def test_group_quantiles_with_a_hot_group(spark, monkeypatch, limit):
     """One group holds a third of the rows; both the broadcast and the shuffled bracket join are exact."""
-    monkeypatch.setattr(quantiles, "fetch_small", lambda df: skew.fetch_small(df, limit))
+    monkeypatch.setattr(quantiles, "small_side", lambda df: skew.small_side(df, limit))
     data = frame()
     table = quantiles.quantile_table(spark.createDataFrame(data).repartition(5), ["smooth", "wild"], PROBS, ["g"])
     found = {(r["g"], r["column"]): r["q"] for r in table.collect()}
@@ -46,6 +46,32 @@ def test_quantiles_of_little_data(spark):
     assert found == {"a": pytest.approx([1.5, 1.95])}
 
 
+@pytest.mark.parametrize("rows", [9_999, 10_000, 10_001])
+def test_around_the_size_that_is_counted_whole(spark, rows):
+    data = frame(rows)
+    table = quantiles.quantile_table(spark.createDataFrame(data), ["smooth", "tied"], PROBS)
+    for r in table.collect():
+        assert r["q"] == pytest.approx(np.quantile(data[r["column"]], PROBS), rel=1e-12)
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    """Brackets from a far too coarse sketch with no margin."""
+    monkeypatch.setattr(quantiles, "SKETCH_ACCURACY", 4)
+    monkeypatch.setattr(quantiles, "MARGIN", 1e-9)
+    data = frame(30_000)
+    table = quantiles.quantile_table(spark.createDataFrame(data).repartition(4), ["smooth", "wild"], PROBS)
+    for r in table.collect():
+        assert r["q"] == pytest.approx(np.quantile(data[r["column"]], PROBS), rel=1e-12)
+
+
+def test_no_column_is_ordered_in_one_task(spark):
+    data = spark.createDataFrame(frame(30_000))
+    plan = quantiles.quantile_table(data, ["smooth"], [i / 100 for i in range(1, 100)])._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if " Window " in line]
+    assert len(windows) == 2
+    assert all("slot" in line for line in windows) and sum("bin" in line.split("],")[-2] for line in windows) >= 1
+
+
 def test_many_probabilities(spark):
     data = frame(30_000)
     probs = [(i + 0.5) / 99 for i in range(99)]

@@ -20,24 +20,24 @@ def calendar(spark, runs, step=1):
 RUNS = {1: "fftfff", 2: "ttt", 3: ["f", None, "f"], 4: "f"}
 
 
-@pytest.mark.parametrize("hot_above", [10**6, 2, 0])
+@pytest.mark.parametrize("chunk", ["month", "day", "year"])
 @pytest.mark.parametrize("parts", [1, 7])
-def test_streaks(spark, hot_above, parts):
+def test_streaks(spark, chunk, parts):
     """Splitting keys into chunks and moving rows around change nothing."""
     df = calendar(spark, RUNS).repartition(parts)
-    out = panel.blocked_streaks(df, "k", "d", [], F.col("a") == "f", hot_above=hot_above).orderBy("k").collect()
+    out = panel.blocked_streaks(df, "k", "d", [], F.col("a") == "f", chunk=chunk).orderBy("k").collect()
     assert [r["consecutive_blocked_rate"] for r in out] == pytest.approx([2.5 / 6, 0.0, 1 / 3, 1.0])
     assert [r["dates"] for r in out] == [6, 3, 3, 1]
     assert [r["streaks"] for r in out] == [2, 0, 2, 1]
 
 
-@pytest.mark.parametrize("hot_above", [10**6, 0])
-def test_streaks_match_run_lengths(spark, hot_above):
+@pytest.mark.parametrize("chunk", ["month", "day"])
+def test_streaks_match_run_lengths(spark, chunk):
     import random
 
     source = random.Random(3)
     runs = {k: "".join(source.choice("tf") for _ in range(source.randint(1, 60))) for k in range(30)}
-    out = panel.blocked_streaks(calendar(spark, runs), "k", "d", [], F.col("a") == "f", hot_above=hot_above).collect()
+    out = panel.blocked_streaks(calendar(spark, runs), "k", "d", [], F.col("a") == "f", chunk=chunk).collect()
     for row in out:
         lengths = [len(list(g)) for state, g in itertools.groupby(runs[row["k"]]) if state == "f"]
         expected = sum(lengths) / len(lengths) / len(runs[row["k"]]) if lengths else 0.0
@@ -45,10 +45,10 @@ def test_streaks_match_run_lengths(spark, hot_above):
         assert row["blocked_dates"] == sum(lengths)
 
 
-@pytest.mark.parametrize("hot_above", [10**6, 0])
-def test_missing_days_can_end_a_streak(spark, hot_above):
+@pytest.mark.parametrize("chunk", ["month", "day"])
+def test_missing_days_can_end_a_streak(spark, chunk):
     df = calendar(spark, {1: "fff"}, step=2)
-    count = lambda flag: panel.blocked_streaks(df, "k", "d", [], F.col("a") == "f", flag, hot_above).first()["streaks"]
+    count = lambda flag: panel.blocked_streaks(df, "k", "d", [], F.col("a") == "f", flag, chunk).first()["streaks"]
     assert count(False) == 1
     assert count(True) == 3
 

@@ -167,8 +167,8 @@ def test_selection_matches_pandas(spark):
     df = spark.createDataFrame(data)
     chosen = selection.select_features(df)
     variances = data[["a", "b", "c", "d", "twin"]].var()
-    assert [c for c, _, _ in chosen.low_variance] == list(variances.index[variances < 0.01 * variances.median()])
-    assert [(c, o) for c, o, _ in chosen.correlated] == [("twin", "b")]
+    assert [c for c, why in chosen.dropped.items() if why[0] == "low_variance"] == list(variances.index[variances < 0.01 * variances.median()])
+    assert [(c, why[1]) for c, why in chosen.dropped.items() if why[0] == "correlated"] == [("twin", "b")]
     assert chosen.selected == ["latitude", "a", "b", "c"]
     assert chosen.transform(df).columns == ["id", "a", "b", "c", "latitude", "price", "label"]
     assert chosen.report(df).count() == 2
