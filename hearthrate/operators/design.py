@@ -32,8 +32,6 @@ ENCODED = (
     "host_identity_verified", "host_verifications", "bathrooms_text",
 )
 OTHER = "Other"
-# A column with more categories than this has no place in a one-hot matrix.
-CATEGORY_LIMIT = 1_000
 
 
 def top_categories(df: DataFrame, column: str, top: int) -> list[str]:
@@ -53,10 +51,11 @@ def bucket_categories(column: Column, kept: Sequence[str]) -> Column:
     return F.when(column.isin(list(kept)), column).otherwise(F.lit(OTHER))
 
 
-def categories_of(df: DataFrame, column: Column, limit: int = CATEGORY_LIMIT) -> list[str]:
-    """Sorted distinct values; too many is an error rather than a silent cut."""
-    rows = df.select(column.cast("string").alias("v")).where(F.col("v").isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
+def categories_of(df: DataFrame, column: Column, limit: int | None = None) -> list[str]:
+    """Sorted distinct values; more than the caller's ``limit`` are an error rather than a silent cut."""
+    values = df.select(column.cast("string").alias("v")).where(F.col("v").isNotNull()).distinct()
+    rows = (values if limit is None else values.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"more than {limit} categories to encode")
     return sorted(row["v"] for row in rows)
 
@@ -88,8 +87,12 @@ class DesignMatrix:
         left_out: Sequence[str] = LEFT_OUT,
         top: Mapping[str, int] = TOP_CATEGORIES,
         encode: Sequence[str] = ENCODED,
+        limit: int | None = None,
     ) -> "DesignMatrix":
-        """Learn everything from ``df``. The key never becomes a feature."""
+        """Learn everything from ``df``. The key never becomes a feature.
+
+        ``limit``: the most categories an encoded column may have, if there is a limit.
+        """
         slim = df.drop(*left_out)
         fitted = cls(key=key, target=target)
         for name, size in top.items():
@@ -97,7 +100,7 @@ class DesignMatrix:
                 fitted.kept[name] = top_categories(slim, name, size)
         for name in encode:
             if name in slim.columns:
-                fitted.encoded[name] = categories_of(slim, fitted._category(name))
+                fitted.encoded[name] = categories_of(slim, fitted._category(name), limit)
         fitted.numeric = [c for c in numeric_columns(slim) if c not in (key, target) and c not in fitted.encoded]
         fitted.medians = column_medians(slim, fitted.numeric)
         fitted.features = fitted.numeric + [f"{n}_{c}" for n, cs in fitted.encoded.items() for c in cs[1:]]

@@ -59,6 +59,11 @@ class TrainingSet:
     design: DesignMatrix
     train: DataFrame
     test: DataFrame
+    encoded: DataFrame
+
+    def release(self) -> None:
+        """Free the cached vectors when the models are fitted."""
+        self.encoded.unpersist()
 
 
 def training_set(features: DataFrame, key: str = "id", cap: float | None = PRICE_CAP, folds: int = 5) -> TrainingSet:
@@ -69,7 +74,7 @@ def training_set(features: DataFrame, key: str = "id", cap: float | None = PRICE
     design = DesignMatrix.fit(sided.where(F.col("side") == "train").drop("side", "fold"), key)
     encoded = design.assemble(sided, ["side", "fold"]).persist(StorageLevel.MEMORY_AND_DISK)
     return TrainingSet(
-        design, encoded.where(F.col("side") == "train"), encoded.where(F.col("side") == "test")
+        design, encoded.where(F.col("side") == "train"), encoded.where(F.col("side") == "test"), encoded
     )
 
 

@@ -25,8 +25,10 @@ def read_delimited(
     schema: str | T.StructType | None = None,
     columns: Sequence[str] | None = None,
     dates: Sequence[str] = (),
+    multiline: bool = True,
 ) -> DataFrame:
-    """CSV, plain or gzipped, with quoted line breaks. Without a schema the file is read once to infer it.
+    """CSV, plain or gzipped. ``multiline`` allows line breaks inside quotes, which
+    makes every file one split; a plain file without them is read in many. Without a schema the file is read once to infer it.
 
     Columns are matched by header name, so a schema may list them in any order
     only if it lists all; pruning happens in ``columns``. A gzip file is one
@@ -34,7 +36,7 @@ def read_delimited(
     """
     reader = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
     )
@@ -57,7 +59,7 @@ def write_delimited(df: DataFrame, path: str) -> None:
 
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:
     return read_delimited(
-        spark, path, CALENDAR_SCHEMA, ["listing_id", "date", "available", "minimum_nights"], ["date"]
+        spark, path, CALENDAR_SCHEMA, ["listing_id", "date", "available", "minimum_nights"], ["date"], multiline=False
     )
 
 
@@ -69,7 +71,7 @@ def read_reviews(spark: SparkSession, path: str) -> DataFrame:
 def read_dimension(
     spark: SparkSession, path: str, rename: Mapping[str, str] | None = None, schema: str = NEIGHBOURHOOD_SCHEMA
 ) -> DataFrame:
-    df = read_delimited(spark, path, schema)
+    df = read_delimited(spark, path, schema, multiline=False)
     for old, new in (rename or {"neighbourhood": "neighbourhood_cleansed"}).items():
         df = df.withColumnRenamed(old, new)
     return df

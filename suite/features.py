@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hearthrate.functions import geo, parsing, wording
 from hearthrate.functions.nulls import clamp, flag
 from hearthrate.functions.pricing import log_price, price_from_log
-from hearthrate.operators.features import text_features
+from hearthrate.operators.features import activity_features, interaction_features, text_features
 from hearthrate.operators.profile import flag_coverage
 from hearthrate.operators.sentiment import NEGATORS, STRENGTHENERS, WEAKENERS, score_sentiment
 from hearthrate.session import spread
@@ -217,3 +217,21 @@ def sentiment_scores(spark: SparkSession, sf: str) -> DataFrame:
         wording.mentions_any(F.col("text"), wording.COMPLAINT_WORDS).alias("complaint"),
     )
     return score_sentiment(docs, ["doc_id", "praise", "complaint"], "text", lexicon(spark))
+
+
+@query("listing_activity", "F5 F6 F7 F8 F9 F10", """
+SELECT l_orderkey, l_linenumber, round(l_suppkey % 366 / 365.0, 9) AS availability_rate, coalesce(l_linenumber > 3, false)::INTEGER AS reviews_active,
+       date_diff('day', l_shipdate::DATE, DATE '1999-01-01')::INTEGER AS days_since_last_review, round((l_tax * 10 + l_discount * 10) / 2, 9) AS review_score_avg,
+       round(l_quantity * l_tax * 10, 9) AS size_quality_score, round((l_returnflag = 'R')::INTEGER * (l_tax * 10 + l_discount * 10) / 2, 9) AS host_quality_score
+FROM lineitem
+""")
+def listing_activity(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_suppkey") % 366).alias("availability_365"), (F.col("l_linenumber") - 3).alias("number_of_reviews_l30d"),
+        F.lit("1999-01-01").alias("last_scraped"), F.col("l_shipdate").cast("date").cast("string").alias("last_review"),
+        (F.col("l_tax") * 10).alias("review_scores_rating"), (F.col("l_discount") * 10).alias("review_scores_value"),
+        F.col("l_quantity").alias("accommodates"), (F.col("l_returnflag") == "R").cast("int").alias("is_superhost"),
+    )
+    made = lines.transform(activity_features).transform(interaction_features)
+    names = ("availability_rate", "review_score_avg", "size_quality_score", "host_quality_score")
+    return rounded(made.select("l_orderkey", "l_linenumber", "reviews_active", "days_since_last_review", *names), *names, digits=9)

@@ -217,7 +217,24 @@ def fold_counts(spark: SparkSession, sf: str) -> DataFrame:
     return blocks.groupBy("fold", "block").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("feature_selection", "L1 L2 L3 L4", """
+def selectable(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as listings, with a twin column, two flat ones and a pinned one."""
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.col("l_extendedprice").alias("price"), "l_quantity",
+        (F.col("l_quantity") * 2 + 1).alias("double_quantity"), "l_discount", "l_tax", "l_linenumber",
+        (F.col("l_suppkey") / 1000.0).alias("latitude"), "l_returnflag",
+    )
+
+
+@query("selected_columns", "L3 L4", """
+SELECT l_orderkey AS id, l_extendedprice AS price, l_quantity, l_linenumber, l_suppkey / 1000.0 AS latitude, l_returnflag FROM lineitem
+""")
+def selected_columns(spark: SparkSession, sf: str) -> DataFrame:
+    lines = selectable(spark, sf)
+    return selection.select_features(lines).transform(lines)
+
+
+@query("feature_selection", "L1 L2", """
 SELECT 'double_quantity' AS feature, 'correlated' AS reason, 'l_quantity' AS other, 1.0::DOUBLE AS value
 UNION ALL
 SELECT * FROM (SELECT 'l_discount', 'low_variance', NULL, round(var_samp(l_discount), 9) FROM lineitem)
@@ -225,13 +242,8 @@ UNION ALL
 SELECT * FROM (SELECT 'l_tax', 'low_variance', NULL, round(var_samp(l_tax), 9) FROM lineitem)
 """)
 def feature_selection(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("id"), F.col("l_extendedprice").alias("price"), "l_quantity",
-        (F.col("l_quantity") * 2 + 1).alias("double_quantity"), "l_discount", "l_tax", "l_linenumber",
-        (F.col("l_suppkey") / 1000.0).alias("latitude"), "l_returnflag",
-    )
-    chosen = selection.select_features(lines)
-    return rounded(chosen.report(lines), "value", digits=9)
+    lines = selectable(spark, sf)
+    return rounded(selection.select_features(lines).report(lines), "value", digits=9)
 
 
 @query("leakage_flags", "L5 V4", """

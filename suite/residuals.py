@@ -108,7 +108,7 @@ def residual_moments(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(residuals.residual_moments(results(spark, sf)), "mean", "median", "std", "skew", "kurtosis", digits=5)
 
 
-@query("spearman", "W6 E8", "WITH " + PREDICTED + """,
+@query("spearman", "W6", "WITH " + PREDICTED + """,
 k AS (SELECT rank() OVER (ORDER BY actual) + (count(*) OVER (PARTITION BY actual) - 1) / 2.0 AS x,
              rank() OVER (ORDER BY abs_error) + (count(*) OVER (PARTITION BY abs_error) - 1) / 2.0 AS y FROM res)
 SELECT count(*) AS n, round(corr(x, y), 6) AS r FROM k
@@ -117,6 +117,20 @@ def spearman(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(residuals.spearman(results(spark, sf), "actual", "abs_error"), "r")
 
 
+@query("heteroscedasticity", "E8", "WITH " + PREDICTED + """,
+k AS (SELECT rank() OVER (ORDER BY actual) + (count(*) OVER (PARTITION BY actual) - 1) / 2.0 AS x,
+             rank() OVER (ORDER BY abs_error) + (count(*) OVER (PARTITION BY abs_error) - 1) / 2.0 AS y FROM res),
+s AS (SELECT count(*) AS n, corr(x, y) AS r FROM k)
+SELECT n, round(r, 6) AS r, (abs(r) * sqrt((n - 2) / (1 - r * r)) > 1.96)::INTEGER AS significant,
+       (r > 0.3 AND abs(r) * sqrt((n - 2) / (1 - r * r)) > 1.96)::INTEGER AS grows FROM s
+""")
+def heteroscedasticity(spark: SparkSession, sf: str) -> DataFrame:
+    """The p-value against the normal limit, which thousands of rows reach."""
+    found = residuals.heteroscedasticity(results(spark, sf))
+    row = (found["n"], round(found["r"], 6), int(found["p"] < 0.05), int(found["grows"]))
+    return spark.createDataFrame([row], "n long, r double, significant int, grows int")
+
+
 @query("trend_line", "E12", """
 WITH t AS (SELECT l_extendedprice AS y, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_quantity END AS a, l_discount AS b FROM lineitem),
 f AS (SELECT y, a, b, coalesce(a, (SELECT quantile_cont(a, 0.5) FROM t)) AS fa FROM t)
