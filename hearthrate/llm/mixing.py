@@ -59,7 +59,7 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
 def fit_domains(docs: DataFrame, labels: DataFrame, key: str, text: str, sample: int = LABELLED) -> DomainModel:
     """Softmax regression on at most ``sample`` labelled documents (``key``, ``domain``)."""
     chosen = labels.where(F.col(key).isNotNull() & F.col("domain").isNotNull()).groupBy(key).agg(F.min("domain").alias("domain"))
-    rows = docs.select(key, F.col(text).alias("text")).where("text is not null").join(chosen, key)
+    rows = docs.select(key, F.col(text).alias("text")).where("text is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,9 +69,9 @@ def fit_domains(docs: DataFrame, labels: DataFrame, key: str, text: str, sample:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("domain").slice(words.at, len(words)), pa.ListArray.from_arrays(cuts, pa.array(bucket.astype(np.int32)))], names=["domain", "buckets"])
 
-    # The sample is drawn on keys first; texts of the drawn rows alone are turned into features.
-    drawn = rows.select(key).distinct().orderBy(F.xxhash64(key), key).limit(sample)
-    found = rows.join(drawn, key).select("domain", "text").mapInArrow(run, "domain string, buckets array<int>").toArrow()
+    # The sample is drawn on keys; its few rows are sent to the texts, which do not move.
+    drawn = chosen.join(rows.select(key), key, "left_semi").orderBy(F.xxhash64(key), key).limit(sample)
+    found = rows.join(F.broadcast(drawn), key).select("domain", "text").mapInArrow(run, "domain string, buckets array<int>").toArrow()
     names = sorted(set(found.column("domain").to_pylist()))
     if not names:
         return DomainModel(["all"], np.zeros((1 << BITS, 1)), np.zeros(1))
