@@ -17,6 +17,7 @@ once per task, and no pairs of documents are made.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -76,16 +77,25 @@ class Packer:
             for i, j in zip(cuts[lo:lo + 256], cuts[lo + 1:lo + 257]):
                 begins = np.flatnonzero(np.diff(docs[i:j], prepend=docs[i] - 1))
                 columns[0].append(int(part[i]))
-                columns[1].append(docs[i:j][begins].tobytes())
-                columns[2].append(np.diff(np.append(begins, j - i)).astype(np.int32).tobytes())
+                columns[1].append(squeeze(np.diff(docs[i:j][begins], prepend=0)))
+                columns[2].append(squeeze(np.diff(np.append(begins, j - i)).astype(np.int32)))
                 columns[3].append(pack(keys[i:j], self.width))
-                columns[4].append(flags[i:j].tobytes())
+                columns[4].append(squeeze(flags[i:j]))
             kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(c, k) for c, k in zip(columns, kinds)), pa.array([local] * len(columns[0]))],
                 names=["part", "docs", "counts", "keys", "flags", "local"])
 
 
+def squeeze(numbers: np.ndarray) -> bytes:
+    """Small differences, counts and flags are mostly zero bytes."""
+    return zlib.compress(numbers.tobytes(), 1)
+
+
+def spread_out(data: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), dtype=kind)
+
+
 def pack(keys: np.ndarray, width: int) -> bytes:
     return np.ascontiguousarray(keys).view(np.uint8).reshape(len(keys), -1)[:, :width].tobytes()
 
@@ -112,41 +122,52 @@ def grouped(keys: np.ndarray, docs: np.ndarray, flags: np.ndarray):
     return keys, docs, flags, starts, np.repeat(sizes > 1, sizes)
 
 
+def _entries(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, bool]]:
+    """(keys, documents, flags, local) of each packed row."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            docs = np.repeat(np.cumsum(spread_out(row["docs"], np.int64)), spread_out(row["counts"], np.int32))
+            yield unpack(row["keys"], width), docs, spread_out(row["flags"], np.uint8), row["local"]
+
+
 def _answers(packed: DataFrame, parts: int, width: int, first_only: bool) -> DataFrame:
-    """(doc_id, keys): for each document the keys that got a hit, in packed form."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, docs, flags = [], [], []
-        done_keys, done_docs = [], []
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = np.repeat(np.frombuffer(row["docs"], dtype=np.int64), np.frombuffer(row["counts"], dtype=np.int32))
-                (done_keys if row["local"] else keys).append(unpack(row["keys"], width))
-                (done_docs if row["local"] else docs).append(own)
-                if not row["local"]:
-                    flags.append(np.frombuffer(row["flags"], dtype=np.uint8))
-        if keys:
-            k, d, f, starts, shared = grouped(np.concatenate(keys), np.concatenate(docs), np.concatenate(flags))
+    """(doc_id, keys): for each document the keys that got a hit, packed to 8 bytes at most."""
+    kept = min(width, 8)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, done = [], []
+        for keys, docs, flags, local in _entries(batches, width):
+            (done if local else asked).append((keys, docs, flags))
+        if asked:
+            k, d, f, starts, shared = grouped(*(np.concatenate([a[i] for a in asked]) for i in range(3)))
             sizes = np.diff(np.append(starts, len(d)))
             if first_only:
                 hit = shared & (d != np.repeat(d[starts], sizes))
             else:
                 best = np.repeat(np.maximum.reduceat(f, starts), sizes)
                 hit = (best == 2) | (shared & (best == 1))
-            done_keys.append(k[hit])
-            done_docs.append(d[hit])
-        if not done_docs:
+            done.append((k[hit], d[hit], f[hit]))
+        if done:
+            k, d = (np.concatenate([a[i] for a in done]) for i in range(2))
+            if len(d):
+                yield from Packer(parts, kept, first_only)._packed(k[:, :1], d, np.zeros(len(d), dtype=np.uint8), local=True)
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(keys, docs) for keys, docs, _, _ in _entries(batches, kept)]
+        if not found:
             return
-        k, d = np.concatenate(done_keys), np.concatenate(done_docs)
+        k, d = (np.concatenate([a[i] for a in found]) for i in range(2))
         order = np.argsort(d, kind="stable")
         k, d = k[order], d[order]
-        cuts = np.append(np.flatnonzero(np.append(True, d[1:] != d[:-1])[:len(d)]), len(d))
+        cuts = np.append(np.flatnonzero(np.append(True, d[1:] != d[:-1])), len(d))
         for lo in range(0, len(cuts) - 1, 1000):
             spans = list(zip(cuts[lo:lo + 1000], cuts[lo + 1:lo + 1001]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(d[i]) for i, _ in spans], pa.int64()), pa.array([pack(k[i:j], min(width, 8)) for i, j in spans], pa.binary())],
+                [pa.array([int(d[i]) for i, _ in spans], pa.int64()), pa.array([pack(k[i:j], kept) for i, j in spans], pa.binary())],
                 names=["doc_id", "keys"])
 
-    return packed.repartitionById(parts, F.col("part")).mapInArrow(run, "doc_id long, keys binary").groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
+    judged = packed.repartitionById(parts, F.col("part")).mapInArrow(judge, _PACKED)
+    return judged.repartitionById(parts, F.col("part")).mapInArrow(unite, "doc_id long, keys binary")
 
 
 def joined_words(words: Words, kept: np.ndarray) -> list[bytes]:
@@ -238,7 +259,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         for i in range(len(words)):
             packed = keys[words.at + i].as_py()
             if packed:
-                known = unpack(b"".join(packed), width)[:, 0]
+                known = unpack(packed, width)[:, 0]
                 mark[at[cuts[i]:cuts[i + 1]]] = np.isin(own[cuts[i]:cuts[i + 1], 0], known)
         return mark
 
@@ -268,6 +289,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     scratch.release_shuffles()
     own = judged.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.col("copy").cast("int")).alias("copied")).where("copied = 0").select("doc_id")
     flagged = scratch.store(rows.join(anchors.join(own, "doc_id"), "doc_id"))
+    scratch.drop(anchors)
     scratch.release_shuffles()
     confirming = flagged.mapInArrow(packing(lambda: Packer(parts, 16, True), confirm), _PACKED)
     repeats = scratch.store(_answers(confirming, parts, 16, True))
