@@ -10,6 +10,8 @@ come from the smallest components, leave the bucket once compared, and their
 number grows from round to round; a bucket is done when its members are one
 component. So members already connected are never paired, and every pair of a
 bucket that could connect two components is compared: no cap, no lost link.
+Jaccard distance is a metric: members whose distances to their bucket's first
+centre differ by more than a link allows cannot be linked, and are not compared.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ ROWS = 6
 _BANDS = SLOTS // ROWS
 _DRAWS = 4096
 # The number of centres of a bucket grows by this factor each round.
-GROWTH = 4
+GROWTH = 16
 
 # Draw t of slot s: the slot it looks at; the same for all documents.
 _ORDER = (mix(np.arange(_DRAWS * SLOTS, dtype=np.uint64) + np.uint64(0x5851F42D4C957F2D)) % np.uint64(SLOTS)).astype(np.int64).reshape(_DRAWS, SLOTS)
@@ -118,12 +120,13 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: in
     return rows.join(wanted, "id", "left_semi").mapInArrow(run, "id long, shingles array<long>")
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose sets have ``percent`` or more of their union in common."""
+def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, far, linked) of all pairs: their Jaccard distance, and whether ``percent`` or more of the union is common."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")).cast("long"))
-    return both.where(F.col("common") * 100 >= (F.size("sa") + F.size("sb") - F.col("common")) * percent).select("a", "b").distinct()
+    union = F.size("sa") + F.size("sb") - F.col("common")
+    return both.groupBy("a", "b").agg(F.min(1 - F.col("common") / union).alias("far"), F.max(F.col("common") * 100 >= union * percent).alias("linked"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
@@ -168,6 +171,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 def _connect(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame | None:
     """Components (node, component) of all links among bucket mates; None without links."""
     links, labels, tested, centres_per_bucket = None, None, None, 1
+    # Distance to the first centre of the bucket, once that is known; the slack covers rounding.
+    members = members.withColumn("far", F.lit(None).cast("double"))
+    reach = 1 - percent / 100 + 1e-9
     while True:
         # Buckets that still hold more than one component.
         open_ = members.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("bucket")
@@ -177,16 +183,21 @@ def _connect(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch
         sizes = members.groupBy("bucket", "part").agg(F.count("*").alias("size"))
         order = Window.partitionBy("bucket").orderBy("size", "part", "id")
         ranked = members.join(sizes, ["bucket", "part"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= centres_per_bucket)
-        centres = scratch.store(ranked.select("bucket", F.col("id").alias("centre"), F.col("n").alias("cn"), F.col("part").alias("cpart")))
+        centres = scratch.store(ranked.select("bucket", F.col("id").alias("centre"), F.col("n").alias("cn"), F.col("part").alias("cpart"), F.col("far").alias("cfar")))
         alike = (F.least("n", "cn") * 100 >= F.greatest("n", "cn") * percent) & (F.col("part") != F.col("cpart"))
+        alike = alike & ~F.coalesce(F.abs(F.col("far") - F.col("cfar")) > reach, F.lit(False))
         pairs = members.join(centres, "bucket").where(alike).select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
         pairs = scratch.store(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        found = scratch.store(_confirm(pairs, sets, percent))
+        compared = scratch.store(_compare(pairs, sets, percent))
+        found = compared.where("linked").select("a", "b")
         tested = pairs if tested is None else tested.union(pairs)
         rest = members.join(centres.withColumnRenamed("centre", "id").select("bucket", "id"), ["bucket", "id"], "left_anti")
+        if centres_per_bucket == 1:
+            ends = rest.drop("far").join(centres.select("bucket", "centre"), "bucket").withColumns({"a": F.least("id", "centre"), "b": F.greatest("id", "centre")})
+            rest = ends.join(compared.select("a", "b", "far"), ["a", "b"], "left").select("bucket", "id", "n", "part", "far")
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             labels = components(links, scratch)
-            rest = rest.drop("part").join(labels.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("part"))
+            rest = rest.drop("part").join(labels.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("part"), "far")
         members = rest
         centres_per_bucket *= GROWTH
