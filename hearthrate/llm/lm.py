@@ -23,8 +23,8 @@ from hearthrate.llm.lattice import Tally, Vocabulary, expected_counts, log_margi
 from hearthrate.llm.scratch import Scratch
 from hearthrate.llm.words import Words, mix, passes, split
 
-# Words, most frequent first, that every task holds with their scores: about 10 MB.
-FREQUENT_WORDS = 200_000
+# Words, most frequent first, that every task holds with their scores: about 4 MB.
+FREQUENT_WORDS = 80_000
 TALLY_WORDS = 200_000
 _LN10 = np.log(10.0)
 
