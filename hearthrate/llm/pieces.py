@@ -33,7 +33,7 @@ MARK = "▁"
 _MARK = MARK.encode()
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 # Units remembered by a task before it starts anew; bounds its memory.
-_KNOWN_UNITS = 400_000
+_KNOWN_UNITS = 200_000
 
 
 class CharacterMap:
