@@ -213,7 +213,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    block, bits = (window + 1) // 2, 40 + parts.bit_length() - 1
+    block, bits = (window + 1) // 2, min(40 + parts.bit_length() - 1, 64)
+    # Bytes of an anchor's key: all its bits must travel, as answers are compared with whole keys.
+    width = -(-bits // 8)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +247,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         packer.add(keys, ids[doc], aligned.astype(np.uint8))
 
     def confirm(packer: Packer, words: Words, ids: np.ndarray, batch: pa.RecordBatch) -> None:
-        hit = anchored(words, batch.column("keys"), lambda w: block_keys(w, block, bits), 6)
+        hit = anchored(words, batch.column("keys"), lambda w: block_keys(w, block, bits), width)
         keys, at = window_keys(words, window)
         reach = np.concatenate([[0], np.cumsum(hit)])
         near = reach[np.minimum(at + window - block + 1, len(hit))] > reach[at]
@@ -283,8 +285,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     # A copy of a smaller document, long enough for a window, goes whole; no more need be known of it.
     first = sized.where((F.col("n_words") >= window) & F.col("doc_id").isNotNull()).groupBy("whole").agg(F.min("doc_id").alias("first"))
     judged = sized.join(first, "whole", "left").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)))
-    probing = rows.where("doc_id is not null").mapInArrow(packing(lambda: Packer(parts, 6, False), probe), _PACKED)
-    anchors = scratch.store(_answers(probing, parts, 6, False))
+    probing = rows.where("doc_id is not null").mapInArrow(packing(lambda: Packer(parts, width, False), probe), _PACKED)
+    anchors = scratch.store(_answers(probing, parts, width, False))
     del probing
     scratch.release_shuffles()
     own = judged.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.col("copy").cast("int")).alias("copied")).where("copied = 0").select("doc_id")

@@ -61,6 +61,19 @@ def test_passage_of_very_many_documents(docs_of):
     assert result(remove_repeats(docs_of(rows))) == brute(rows)
 
 
+@pytest.mark.parametrize("parts", [512, 2048])
+def test_many_partitions(docs_of, parts):
+    draw = random.Random(parts)
+    fresh = lambda n: [f"u{draw.random()}" for _ in range(n)]
+    # The two documents of a passage lie in different tasks, so only blocks aligned in one of them are anchors.
+    passages = [fresh(length) for length in (13, 15, 20) * 8]
+    rows = [(i, " ".join(fresh(3) + p)) for i, p in enumerate(passages)]
+    rows += [(i + 100, " ".join(fresh(5) + p + fresh(2))) for i, p in enumerate(passages)]
+    got = result(remove_repeats(docs_of(rows), parts=parts))
+    assert got == brute(rows)
+    assert sum(r[2] > 0 for r in got) == 24
+
+
 @pytest.mark.parametrize("rows", [
     [], [(None, "a " * 40), (3, "a " * 40), (3, "a " * 40)], [(1, None), (2, ""), (3, " \n")],
     [(5, "x " * 20), (2, "x " * 13), (9, "x " * 12), (1, None)], [(7, "A b c d e f g h i j k l m n"), (4, "q A b c d e f g h i j k l m"), (4, "A b c d e f g h i j k l m z")],
