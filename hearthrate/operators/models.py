@@ -27,6 +27,7 @@ RIDGE_ALPHA = 10.0
 FOREST = {"numTrees": 300, "minInstancesPerNode": 5, "maxDepth": 30}
 BOOSTED = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
 SEED = 42
+TRIALS = 30
 SEARCH_RANGES = {
     "n_estimators": ("int", 100, 1000),
     "max_depth": ("int", 3, 10),

@@ -74,11 +74,15 @@ def settle(df: DataFrame, *cached: DataFrame, at_most: int = RESULT_ROWS) -> Dat
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
+def allow_checkpoints(spark: SparkSession) -> None:
+    """Let long loops, such as the rounds of boosted trees, cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder and forget its plan."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+    allow_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

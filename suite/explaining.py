@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthrate.operators import attribution as A
 from hearthrate.operators.models import boosted
-from hearthrate.session import settle
+from hearthrate.session import allow_checkpoints, cut_lineage, scratch_path, settle
+from hearthrate.sources.artifacts import save_attributions
 from suite.modelling import FEATURES, KEY_SQL, line_table, vectors
 from suite.registry import query, rounded, table
 
@@ -73,20 +74,22 @@ def row_drivers(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("tree_attribution", "G7 G8 K2")
 def tree_attribution(spark: SparkSession, sf: str) -> DataFrame:
-    """Summary of the attributions of a boosted model over every row, with the largest additivity error."""
+    """Summary of the attributions of a boosted model over every row, whose long form is saved."""
+    allow_checkpoints(spark)
     rows = vectors(spark, sf, FEATURES)
-    model = boosted(maxIter=5, maxDepth=4).fit(rows)
-    scored = model.transform(rows)
-    attributed = A.tree_attribution(scored.select("id", *FEATURES, "prediction"), "id", FEATURES, model)
+    model = boosted().fit(rows)
+    attributed = cut_lineage(A.tree_attribution(rows, "id", FEATURES, model))
+    save_attributions(attributed, "id", FEATURES, scratch_path(spark, "attributions"))
     return A.attribution_summary(attributed, FEATURES)
 
 
 @query("importance_stability", "G12 W5 U3 U4")
 def importance_stability(spark: SparkSession, sf: str) -> DataFrame:
+    allow_checkpoints(spark)
     rows = vectors(spark, sf, FEATURES).persist()
     parts = []
     for seed in A.STABILITY_SEEDS:
-        model = boosted(maxIter=3, maxDepth=3).setSeed(seed).fit(rows)
+        model = boosted().setSeed(seed).fit(rows)
         summary = A.attribution_summary(A.tree_attribution(rows, "id", FEATURES, model), FEATURES)
         parts.append(summary.select(F.lit(seed).alias("seed"), "feature", "mean_abs"))
     return settle(A.importance_stability(reduce(DataFrame.unionByName, parts)), rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthrate.functions.keyed import fold_of, split_side
@@ -9,11 +10,10 @@ from hearthrate.functions.pricing import WIDE_CLIP
 from hearthrate.operators import models
 from hearthrate.operators.design import assemble_vector, contiguous_folds, standardise
 from hearthrate.operators.residuals import dollar_metrics
-from hearthrate.session import settle, spread
+from hearthrate.session import allow_checkpoints, scratch_path, settle, spread
 from suite.registry import query, rounded, table
 
 FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
-SMALL_TREES = {"forest": {"numTrees": 5, "maxDepth": 5}, "boosted": {"maxIter": 5, "maxDepth": 4}}
 KEY_SQL = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 LINES_SQL = f"""
 t AS (SELECT {KEY_SQL} AS id, l_quantity AS x, ln(l_extendedprice / 250.0 + 3 * l_quantity) AS y FROM lineitem),
@@ -58,9 +58,9 @@ def linear_fit_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("n", F.round("mae", 5).alias("mae"), F.round("rmse", 5).alias("rmse"), F.round("r2", 6).alias("r2"), F.round("r2_log", 6).alias("r2_log"))
 
 
-def ridge_maker(train: DataFrame):
+def ridge_maker(train: DataFrame, standardised: bool = True):
     row = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("s")).first()
-    return models.ridge(row["n"], row["s"], standardised=True)
+    return models.ridge(row["n"], row["s"], standardised=standardised)
 
 
 @query("ridge", "R2 M9", "WITH " + LINES_SQL + """,
@@ -155,23 +155,26 @@ def training_prefix(spark: SparkSession, sf: str) -> DataFrame:
 @query("forest", "R3")
 def forest(spark: SparkSession, sf: str) -> DataFrame:
     train, test = sides(vectors(spark, sf, FEATURES))
-    return dollar_metrics(models.forest(**SMALL_TREES["forest"]).fit(train).transform(test))
+    return dollar_metrics(models.forest().fit(train).transform(test))
 
 
 @query("boosted", "R4")
 def boosted(spark: SparkSession, sf: str) -> DataFrame:
+    allow_checkpoints(spark)
     train, test = sides(vectors(spark, sf, FEATURES))
-    return dollar_metrics(models.boosted(**SMALL_TREES["boosted"]).fit(train).transform(test))
+    return dollar_metrics(models.boosted().fit(train).transform(test))
 
 
 @query("model_comparison", "R7 R1 R2 R3 R4")
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    allow_checkpoints(spark)
     rows = vectors(spark, sf, FEATURES).persist()
     train, test = sides(rows)
     trained = [
         models.train_and_evaluate("linear", lambda _: models.linear(), train, test, clip=WIDE_CLIP),
-        models.train_and_evaluate("forest", lambda _: models.forest(**SMALL_TREES["forest"]), train, test, clip=WIDE_CLIP),
-        models.train_and_evaluate("boosted", lambda _: models.boosted(**SMALL_TREES["boosted"]), train, test, clip=WIDE_CLIP),
+        models.train_and_evaluate("ridge", lambda t: ridge_maker(t, standardised=False), train, test, clip=WIDE_CLIP),
+        models.train_and_evaluate("forest", lambda _: models.forest(), train, test, clip=WIDE_CLIP),
+        models.train_and_evaluate("boosted", lambda _: models.boosted(), train, test, clip=WIDE_CLIP),
     ]
     rows.unpersist()
     return models.comparison_table(train, trained).drop("train_time")
@@ -179,12 +182,15 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("search", "R8 R9")
 def search(spark: SparkSession, sf: str) -> DataFrame:
-    ranges = {**models.SEARCH_RANGES, "n_estimators": ("int", 2, 4), "max_depth": ("int", 2, 3)}
-    rows = vectors(spark, sf, FEATURES).withColumn("half", (F.col("fold") > 1).cast("int")).persist()
+    """The trial log, with the test error of the best point refitted on the training side, saved and read back."""
+    allow_checkpoints(spark)
+    rows = vectors(spark, sf, FEATURES).persist()
     train, test = sides(rows)
-    trials = models.random_search(train, "half", 2, models.draw_parameters(2, ranges=ranges))
-    refit = models.boosted_from(models.best_parameters(trials)).fit(train)
-    return settle(trials.withColumn("test_mae", dollar_metrics(refit.transform(test)).select("mae").scalar()), rows)
+    trials = models.random_search(train, "fold", 5, models.draw_parameters(models.TRIALS))
+    path = scratch_path(spark, "best")
+    models.boosted_from(models.best_parameters(trials)).fit(train).write().save(path)
+    best = GBTRegressionModel.load(path)
+    return settle(trials.withColumn("test_mae", dollar_metrics(best.transform(test)).select("mae").scalar()), rows)
 
 
 @query("best_so_far", "R8", """
