@@ -7,7 +7,7 @@ Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept;
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from hearthrate.llm.language import UNKNOWN, identify
 from hearthrate.llm.mixing import mix_sources, take_by_rate
@@ -36,9 +36,16 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, that of the smallest id."""
+    """One document of each group stays, that of the smallest id.
+
+    Rows without id are alone and all stay. Of rows that repeat a kept document's id
+    and text one stays, the first by its other columns.
+    """
     kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    # The join deals rows by id already, so this window sorts but moves no text; texts are told apart by 256-bit hashes.
+    same = Window.partitionBy("doc_id", F.sha2("text", 256)).orderBy("lang", "source", "n_chars")
+    known = docs.join(kept, "doc_id", "left_semi").withColumn("place", F.row_number().over(same)).where("place = 1")
+    return known.select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

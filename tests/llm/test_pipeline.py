@@ -44,3 +44,14 @@ def test_stages(spark, sf_dir):
     assert all(list(r.ids) == library.encode(rows["mixing"][i].text) for i, r in rows["pieces"].items())
     got = {r.doc_id: list(r.ids) for r in cp.run(spark, sf_dir).collect()}
     assert got == {i: list(r.ids) for i, r in rows["pieces"].items()}
+
+
+def test_near_dedup_of_rows_without_id_and_repeated_rows(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, t, "en", source, len(t)) for i, t, source in [
+        (None, text, "a"), (None, text, "b"), (None, "alone", "a"), (7, text, "b"), (7, text, "a"), (7, text, "a"),
+        (9, text + " more", "a"), (9, text + " more", "a"), (11, "", "a"), (11, "", "a"), (12, "other words", "a"),
+    ]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r.doc_id or 0, r.text, r.source) for r in cp.near_dedup(spark, docs, "").collect())
+    assert got == [(0, "alone", "a"), (0, text, "a"), (0, text, "b"), (7, text, "a"), (11, "", "a"), (12, "other words", "a")]
