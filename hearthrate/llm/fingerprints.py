@@ -31,12 +31,12 @@ MOST_RANGES = 20_000
 _LEAST = -(1 << 63)
 
 
-def fingerprints(texts: list[str]) -> np.ndarray:
-    """One row of IDENTITY_LANES + SKETCH_LANES unsigned 16-bit lanes for each text."""
+def whole_lanes(texts: list[str]) -> np.ndarray:
+    """One row of IDENTITY_LANES + SKETCH_LANES unsigned 64-bit lanes for each text: fingerprints before their modulus."""
     raw = [t.encode("utf-8", "replace") for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
     data = np.frombuffer(b"".join(raw), dtype=np.uint8)
-    out = np.zeros((len(texts), IDENTITY_LANES + SKETCH_LANES), dtype=np.uint16)
+    out = np.zeros((len(texts), IDENTITY_LANES + SKETCH_LANES), dtype=np.uint64)
     if not len(data):
         return out
     # Paragraphs: stretches between line ends, cut at document ends.
@@ -50,7 +50,7 @@ def fingerprints(texts: list[str]) -> np.ndarray:
     vectors = mix(hash_spans(data, starts, ends)[:, None] + lanes).view(np.uint16)
     if len(doc):
         begins = np.flatnonzero(np.diff(doc, prepend=-1))
-        out[doc[begins], :IDENTITY_LANES] = np.add.reduceat(vectors, begins, axis=0, dtype=np.uint16)
+        out[doc[begins], :IDENTITY_LANES] = np.add.reduceat(vectors, begins, axis=0, dtype=np.uint64)
     # Runs of three words inside a paragraph; a shorter paragraph is one run.
     words = split(data, np.append(starts, len(data)) if len(starts) else np.array([0, len(data)]))
     if len(starts) and len(words.hashes):
@@ -66,13 +66,21 @@ def fingerprints(texts: list[str]) -> np.ndarray:
         lane = (h & np.uint64(SKETCH_LANES - 1)).astype(np.int64)
         sign = ((h >> np.uint64(32)) & np.uint64(1)).astype(np.float64) * 2 - 1
         sums = np.bincount(owner * SKETCH_LANES + lane, weights=sign, minlength=len(texts) * SKETCH_LANES)
-        out[:, IDENTITY_LANES:] = sums.astype(np.int64).astype(np.uint16).reshape(len(texts), SKETCH_LANES)
+        out[:, IDENTITY_LANES:] = sums.astype(np.int64).view(np.uint64).reshape(len(texts), SKETCH_LANES)
     return out
 
 
+def fingerprints(texts: list[str]) -> np.ndarray:
+    """One row of IDENTITY_LANES + SKETCH_LANES unsigned 16-bit lanes for each text."""
+    return whole_lanes(texts).astype(np.uint16)
+
+
 def likeness(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Cosine of the sketches, at least 0; 1 for equal fingerprints, 0 if only one is of an empty text."""
-    a, b = (x[:, IDENTITY_LANES:].view(np.int16).astype(np.float64) for x in (left, right))
+    """Cosine of the sketches, at least 0; 1 for equal lanes, 0 if only one is of an empty text.
+
+    Lanes of 16 bits change sign where a line is repeated more than 32,767 times; whole lanes do not.
+    """
+    a, b = (x[:, IDENTITY_LANES:].view(f"i{x.itemsize}").astype(np.float64) for x in (left, right))
     dot, size = (a * b).sum(axis=1), np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1))
     cosine = np.divide(dot, size, out=np.zeros(len(a)), where=size > 0)
     return np.where((left == right).all(axis=1), 1.0, np.clip(cosine, 0.0, 1.0))
@@ -159,14 +167,14 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in groups(batches):
             texts = [t for _, t in held]
-            own = fingerprints(texts)
+            own = whole_lanes(texts)
             changed = [half_replaced(a, b) for a, b in zip(texts[:-1], texts[1:])]
-            edited = fingerprints(changed)
+            edited = whole_lanes(changed)
             yield pa.RecordBatch.from_arrays([
                 pa.array([k for k, _ in held[:-1]], pa.int64()),
                 pa.array([len(t) for t in texts[:-1]], pa.int64()),
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed]),
-                pa.array(to_text(own[:-1])), pa.array(to_text(edited)),
+                pa.array(to_text(own[:-1].astype(np.uint16))), pa.array(to_text(edited.astype(np.uint16))),
                 pa.array(likeness(own[:-1], edited)), pa.array(likeness(own[:-1], own[1:])),
             ], names=["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 

@@ -58,3 +58,10 @@ def test_edges(docs_of):
     got = compare_with_next(docs_of(rows).selectExpr("*", "'n' AS fingerprint", "1 AS key", "2 AS at")).collect()
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_chars) for r in got) == [(False, 1, 3), (False, 1, 3), (False, 2, 0), (False, 2, 3), (False, 3, 0), (True, 0, 4)]
     assert add_fingerprint(docs_of([(1, None), (2, "")])).select("fingerprint").distinct().count() == 1
+
+
+def test_one_line_very_often(docs_of):
+    rows = [(4, "a b c\n" * 40_000), (3, "x y z"), (2, "a b c\n" * 65_536), (1, "")]
+    got = {r.doc_id: r for r in compare_with_next(docs_of(rows)).collect()}
+    assert got[4].near_edited > 0.99 and got[4].near_next < 0.5
+    assert got[2].near_edited > 0.99 and got[2].near_next == 0
