@@ -15,6 +15,7 @@ from hearthrate.llm.near_dedup import near_duplicates
 from hearthrate.llm.nearest import nearest
 from hearthrate.llm.pieces import encode_pieces, model_bytes
 from hearthrate.llm.private import find_private
+from hearthrate.llm.resampling import resample
 from hearthrate.llm.secrets import INFERRED, find_secrets
 from hearthrate.llm.substring_dedup import remove_repeats
 
@@ -26,6 +27,7 @@ SQL: dict[str, str] = {}
 WORDS_SQL = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
 
 PIECE_MODEL = "piece_bpe_32k.model"
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -156,3 +158,27 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "tokens", *[F.get("posteriors", i).alias(f"p_{name}") for i, name in enumerate(mix.names)], "rate",
         *[F.lit(float(t)).alias(f"target_{name}") for name, t in zip(mix.names, mix.targets)],
     )
+
+
+@query(r"""
+WITH w AS (SELECT 0 AS part, doc_id AS id, regexp_extract_all(""" + LOWER_SQL + r""", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL SELECT 1, item_id, regexp_extract_all(""" + LOWER_SQL + r""", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+g AS (SELECT part, id, unnest(flatten(list_transform([1, 2, 3], lambda n: list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))))) AS g FROM w),
+n AS (SELECT part, id, g, count(*) AS c FROM g GROUP BY ALL),
+crc AS (SELECT list(t ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS t FROM range(256) r(i))),
+b AS (SELECT g, xor(4294967295, list_reduce(list_transform(regexp_extract_all(hex(g), '..'), lambda h: ('0x' || h)::BIGINT),
+  lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]), 4294967295)) % 10000 AS b FROM (SELECT DISTINCT g FROM n), crc),
+k AS (SELECT b, coalesce(sum(c) FILTER (part = 0), 0)::DOUBLE AS s, coalesce(sum(c) FILTER (part = 1), 0)::DOUBLE AS t FROM n JOIN b USING (g) GROUP BY b),
+total AS (SELECT sum(s) AS ss, sum(t) AS tt FROM k),
+gain AS (SELECT b, floor(1000 * ln((t + 1) * (ss + 10000) / ((s + 1) * (tt + 10000))))::BIGINT AS gain FROM k, total),
+weight AS (SELECT id, sum(c * gain)::BIGINT AS weight, sum(c)::BIGINT AS n FROM n JOIN b USING (g) JOIN gain USING (b) WHERE part = 0 GROUP BY id),
+d AS (SELECT doc_id, len(w) AS words, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+  coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM (SELECT id AS doc_id, w FROM w WHERE part = 0) LEFT JOIN weight ON weight.id = doc_id),
+r AS (SELECT *, CASE WHEN words >= 20 THEN row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) END AS place, count(*) FILTER (words >= 20) OVER () AS able FROM d)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * able // 100 THEN place END AS rank FROM r
+""")
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
