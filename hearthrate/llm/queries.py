@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from hearthrate.llm.divergence import audit_sources
 from hearthrate.llm.fingerprints import compare_with_next
 from hearthrate.llm.language import identify
 from hearthrate.llm.lm import score_documents
@@ -182,3 +183,25 @@ SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * able // 100 THE
 def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "text"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(""" + LOWER_SQL + r""", '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 10),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+n AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n, v FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = k.term),
+p AS (SELECT *, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p FROM c),
+l AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(n) + 2) // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * any_value(v)) AS q FROM c GROUP BY lang, term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 10
+""")
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(read(spark, sf_dir, "documents", "text", "lang", "source"))
