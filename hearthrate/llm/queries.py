@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from hearthrate.llm.divergence import audit_sources
 from hearthrate.llm.fingerprints import compare_with_next
 from hearthrate.llm.language import identify
+from hearthrate.llm.line_rules import judge
 from hearthrate.llm.lm import score_documents
 from hearthrate.llm.mixing import mix_sources
 from hearthrate.llm.near_dedup import near_duplicates
@@ -205,3 +206,14 @@ FROM r QUALIFY part = 'pair' OR rank <= 10
 """)
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_sources(read(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
+def good_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("good"))
+
+
+@query()
+def op12_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(read(spark, sf_dir, "documents", "doc_id", "text"), good_labels(spark, sf_dir), with_text=False)
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *[f"quality.{c}" for c in counts], "quality.content_words")
