@@ -28,8 +28,8 @@ TOP_TERMS = 10
 # The scale of a share and what is added to each count.
 SCALE_HIGH, SCALE_LOW, ADDED = 10_000, 100_000, 2
 # Bytes of text and words counted at once, and postings of a block of terms.
-PASS_BYTES = 4 << 20
-PASS_WORDS = 1_000_000
+PASS_BYTES = 2 << 20
+PASS_WORDS = 500_000
 BLOCK_ROWS = 100_000
 # Tasks that the sources of one language are dealt over.
 SALTS = 64
