@@ -10,8 +10,10 @@ come from the smallest components, leave the bucket once compared, and their
 number grows from round to round; a bucket is done when its members are one
 component. So members already connected are never paired, and every pair of a
 bucket that could connect two components is compared: no cap, no lost link.
-Jaccard distance is a metric: members whose distances to their bucket's first
-centre differ by more than a link allows cannot be linked, and are not compared.
+After the first round exact bounds come before any pair: of its shingles a member
+can share with others only those that some other open member holds too. Members
+that cannot reach the needed share with these leave their bucket unpaired; for
+pairs the bound is taken over classes of shingles.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ _BANDS = SLOTS // ROWS
 _DRAWS = 4096
 # The number of centres of a bucket grows by this factor each round.
 GROWTH = 16
+# Classes of shingles, by their hash, whose counts bound what two documents can share.
+CLASSES = 32
 
 # Draw t of slot s: the slot it looks at; the same for all documents.
 _ORDER = (mix(np.arange(_DRAWS * SLOTS, dtype=np.uint64) + np.uint64(0x5851F42D4C957F2D)) % np.uint64(SLOTS)).astype(np.int64).reshape(_DRAWS, SLOTS)
@@ -121,12 +125,12 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, size: in
 
 
 def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, far, linked) of all pairs: their Jaccard distance, and whether ``percent`` or more of the union is common."""
+    """(a, b, linked) of all pairs: whether ``percent`` or more of the union is common."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")).cast("long"))
     union = F.size("sa") + F.size("sb") - F.col("common")
-    return both.groupBy("a", "b").agg(F.min(1 - F.col("common") / union).alias("far"), F.max(F.col("common") * 100 >= union * percent).alias("linked"))
+    return both.groupBy("a", "b").agg(F.max(F.col("common") * 100 >= union * percent).alias("linked"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
@@ -168,36 +172,71 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     )
 
 
+def _shared(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, held, classes): how many of its shingles each member has in common with any other member, in all and by class of hash."""
+    ids = members.select("id").distinct()
+    shingles = sets.join(ids, "id", "left_semi").select("id", F.explode("shingles").alias("shingle"))
+    # One row for each shingle of two or more members; a shingle of a single one needs no row further on.
+    common = shingles.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    held = shingles.join(common, "shingle", "left_semi").withColumn("class", F.col("shingle").bitwiseAND(F.lit(CLASSES - 1)))
+    counts = F.array(*[F.sum((F.col("class") == k).cast("int")).cast("int") for k in range(CLASSES)])
+    none = F.array(*[F.lit(0)] * CLASSES)
+    return ids.join(held.groupBy("id").agg(F.count("*").alias("held"), counts.alias("classes")), "id", "left").select(
+        "id", F.coalesce("held", F.lit(0)).alias("held"), F.coalesce("classes", none).alias("classes"))
+
+
+def _may_link(members: DataFrame, percent: int) -> DataFrame:
+    """The members that could still link with one of another component in their bucket, by sizes and shared shingles alone.
+
+    Two documents have at most the smaller ``held`` in common. So a partner of ``n`` shingles needs
+    ``(100 + percent) * held >= percent * (own n + n)``, and ``n`` is at least ``percent`` of the own size.
+    """
+    sizes = members.groupBy("bucket", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    # The smallest size of another component: that of the first two components by least size decides.
+    order = Window.partitionBy("bucket").orderBy("least", "part")
+    first = sizes.withColumn("place", F.row_number().over(order)).where("place <= 2").groupBy("bucket").agg(
+        F.min_by("part", "place").alias("first_part"), F.min("least").alias("first_least"), F.max("least").alias("second_least"))
+    other = F.when(F.col("part") == F.col("first_part"), F.col("second_least")).otherwise(F.col("first_least"))
+    room = F.col("held") * (100 + percent) - F.col("n") * percent
+    smallest = F.greatest(other * percent, F.ceil(F.col("n") * percent / 100) * percent)
+    return members.join(first, "bucket").where(room >= smallest).drop("first_part", "first_least", "second_least")
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The members of buckets that still hold more than one component."""
+    open_ = members.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("bucket")
+    return members.join(open_, "bucket", "left_semi")
+
+
 def _connect(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame | None:
     """Components (node, component) of all links among bucket mates; None without links."""
     links, labels, tested, centres_per_bucket = None, None, None, 1
-    # Distance to the first centre of the bucket, once that is known; the slack covers rounding.
-    members = members.withColumn("far", F.lit(None).cast("double"))
-    reach = 1 - percent / 100 + 1e-9
-    while True:
-        # Buckets that still hold more than one component.
-        open_ = members.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("bucket")
-        members = scratch.store(members.join(open_, "bucket"))
-        if members.isEmpty():
-            return labels
+    members, bounded = scratch.store(_open(members)), False
+    while not members.isEmpty():
         sizes = members.groupBy("bucket", "part").agg(F.count("*").alias("size"))
         order = Window.partitionBy("bucket").orderBy("size", "part", "id")
         ranked = members.join(sizes, ["bucket", "part"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= centres_per_bucket)
-        centres = scratch.store(ranked.select("bucket", F.col("id").alias("centre"), F.col("n").alias("cn"), F.col("part").alias("cpart"), F.col("far").alias("cfar")))
-        alike = (F.least("n", "cn") * 100 >= F.greatest("n", "cn") * percent) & (F.col("part") != F.col("cpart"))
-        alike = alike & ~F.coalesce(F.abs(F.col("far") - F.col("cfar")) > reach, F.lit(False))
-        pairs = members.join(centres, "bucket").where(alike).select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
+        known = ["id", "n", "part", *(["held", "classes"] if bounded else [])]
+        centres = scratch.store(ranked.select("bucket", *[F.col(c).alias(f"c_{c}") for c in known]))
+        alike = (F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent) & (F.col("part") != F.col("c_part"))
+        if bounded:
+            enough = (F.col("n") + F.col("c_n")) * percent
+            common = F.aggregate(F.zip_with("classes", "c_classes", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
+            alike = alike & (F.least("held", "c_held") * (100 + percent) >= enough) & (common * (100 + percent) >= enough)
+        pairs = members.join(centres, "bucket").where(alike).select(F.least("id", "c_id").alias("a"), F.greatest("id", "c_id").alias("b")).distinct()
         pairs = scratch.store(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        compared = scratch.store(_compare(pairs, sets, percent))
-        found = compared.where("linked").select("a", "b")
+        found = scratch.store(_compare(pairs, sets, percent).where("linked").select("a", "b"))
         tested = pairs if tested is None else tested.union(pairs)
-        rest = members.join(centres.withColumnRenamed("centre", "id").select("bucket", "id"), ["bucket", "id"], "left_anti")
-        if centres_per_bucket == 1:
-            ends = rest.drop("far").join(centres.select("bucket", "centre"), "bucket").withColumns({"a": F.least("id", "centre"), "b": F.greatest("id", "centre")})
-            rest = ends.join(compared.select("a", "b", "far"), ["a", "b"], "left").select("bucket", "id", "n", "part", "far")
+        rest = members.join(centres.select("bucket", F.col("c_id").alias("id")), ["bucket", "id"], "left_anti").select("bucket", "id", "n", "part")
         if not found.isEmpty():
             links = found if links is None else links.union(found)
             labels = components(links, scratch)
-            rest = rest.drop("part").join(labels.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("part"), "far")
-        members = rest
+            rest = rest.drop("part").join(labels.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", "n", F.coalesce("component", "id").alias("part"))
+        old, rest = members, scratch.store(_open(rest))
+        scratch.drop(old, centres)
+        if rest.isEmpty():
+            break
+        members, bounded = scratch.store(_open(_may_link(rest.join(_shared(rest, sets), "id"), percent))), True
+        scratch.drop(rest)
         centres_per_bucket *= GROWTH
+    return labels
