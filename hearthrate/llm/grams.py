@@ -19,13 +19,28 @@ import xxhash
 from hearthrate.llm.tokens import word_spans
 
 # Words whose n-grams share one table; the n-grams of a longer text are spread over several tables.
-TABLE_WORDS = 100_000
+TABLE_WORDS = 25_000
 
 # The primes of xxhash64.
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
     11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
 # From this length on the hash has another form, which the library computes one by one.
 _LONG = 32
+# Longer n-grams are checksummed one by one.
+_LONG_CHECKSUM = 256
+
+
+def _checksum_tables() -> np.ndarray:
+    """Row k: what a byte adds to a crc32 that k more bytes follow."""
+    rows = [np.arange(256, dtype=np.uint32)]
+    for _ in range(8):
+        rows[0] = np.where(rows[0] & 1, (rows[0] >> 1) ^ np.uint32(0xEDB88320), rows[0] >> 1)
+    for _ in range(3):
+        rows.append((rows[-1] >> 8) ^ rows[0][rows[-1] & 255])
+    return np.stack(rows)
+
+
+_CHECKSUM = _checksum_tables()
 
 
 @dataclass
@@ -106,6 +121,30 @@ def xxh64(g: Grams) -> np.ndarray:
     return h
 
 
+def crc32(g: Grams, which: np.ndarray) -> np.ndarray:
+    """The crc32 of some n-grams, four bytes a step, the longest first."""
+    size = g.ends[which] - g.starts[which]
+    out = np.empty(len(which), dtype=np.uint32)
+    view = memoryview(g.data)
+    for i in np.flatnonzero(size >= _LONG_CHECKSUM):
+        out[i] = zlib.crc32(view[g.starts[which[i]]:g.ends[which[i]]])
+    order = np.flatnonzero(size < _LONG_CHECKSUM)
+    order = order[np.argsort((_LONG_CHECKSUM - size[order]).astype(np.uint16), kind="stable")]
+    at, size = g.starts[which[order]], size[order]
+    crc = np.full(len(order), 0xFFFFFFFF, dtype=np.uint32)
+    for step in range(0, int(size.max(initial=0)), 4):
+        full = np.searchsorted(-size, -(step + 4), "right")
+        x = crc[:full] ^ g.wide[at[:full] + step].astype(np.uint32)
+        crc[:full] = _CHECKSUM[3][x & 255] ^ _CHECKSUM[2][(x >> 8) & 255] ^ _CHECKSUM[1][(x >> 16) & 255] ^ _CHECKSUM[0][x >> 24]
+        # Those that end inside this step go on byte by byte.
+        part = slice(full, np.searchsorted(-size, -step, "left"))
+        for k in range(3):
+            m = np.flatnonzero(size[part] > step + k) + full
+            crc[m] = (crc[m] >> 8) ^ _CHECKSUM[0][(crc[m] ^ g.data[at[m] + step + k]) & 255]
+    out[order] = ~crc
+    return out
+
+
 def _same_bytes(g: Grams, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether the n-grams ``a`` and ``b`` have the same bytes."""
     size = g.ends[a] - g.starts[a]
@@ -150,7 +189,5 @@ class GramTable:
     def buckets(self, number: int) -> np.ndarray:
         """For each slot the n-gram's crc32 modulo ``number``; only used slots have a meaning."""
         out = np.zeros(len(self.keys), dtype=np.int32)
-        view, holder = memoryview(self._grams.data), self.holder[self.used]
-        spans = zip(self._grams.starts[holder].tolist(), self._grams.ends[holder].tolist())
-        out[self.used] = np.fromiter((zlib.crc32(view[s:e]) for s, e in spans), dtype=np.int64, count=len(holder)) % number
+        out[self.used] = crc32(self._grams, self.holder[self.used]) % np.uint32(number)
         return out
