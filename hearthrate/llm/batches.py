@@ -10,7 +10,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, types as T
 
 # Bytes of text handled at once; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

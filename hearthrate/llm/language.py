@@ -21,7 +21,7 @@ from hearthrate.llm.words import passes
 
 UNKNOWN = "und"
 # Distinct words a task collects before it turns them into piece counts.
-TALLY_WORDS = 200_000
+TALLY_WORDS = 100_000
 # Most languages a model may have; the model, a number for each piece and language, is sent to every task.
 MOST_LANGUAGES = 200
 

@@ -148,7 +148,7 @@ def expected_counts(vocab: Vocabulary, logp: np.ndarray, words: Words, which: np
 class Memory:
     """Rows of numbers for words seen before, by the words' hashes; starts anew when full."""
 
-    def __init__(self, width: int, limit: int = 200_000):
+    def __init__(self, width: int, limit: int = 100_000):
         self.width, self.limit = width, limit
         self._clear()
 

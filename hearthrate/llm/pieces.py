@@ -33,7 +33,7 @@ MARK = "▁"
 _MARK = MARK.encode()
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 # Units remembered by a task before it starts anew; bounds its memory.
-_KNOWN_UNITS = 200_000
+_KNOWN_UNITS = 100_000
 
 
 class CharacterMap:
@@ -92,7 +92,7 @@ class Codec:
         # Units are given to the library as they are: its own normalisation is switched off.
         normal.precompiled_charsmap, normal.add_dummy_prefix, normal.remove_extra_whitespaces = b"", False, False
         self.merges = sentencepiece.SentencePieceProcessor(model_proto=spec.SerializeToString())
-        self._forget()
+        self.forget()
 
     def normalise(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text; for each of its bytes, and its end, the source byte."""
@@ -145,7 +145,8 @@ class Codec:
                 kept.append((out, start, end))
         return kept
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Forget the units seen; a worker that is used again starts its next task without them."""
         self.known: dict[int, int] = {}
         self.flat, self.bounds = np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
 
@@ -155,7 +156,7 @@ class Codec:
         ``spell`` gives the text of the unit at a place; it is asked for new units only.
         """
         if len(self.known) > _KNOWN_UNITS:
-            self._forget()
+            self.forget()
         known = self.known
         distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
         names = distinct.tolist()
@@ -223,7 +224,7 @@ class Codec:
 
 @lru_cache(maxsize=1)
 def _codec(model: bytes) -> Codec:
-    """One codec for all tasks of a Python worker, with the units it knows."""
+    """One codec for all tasks of a Python worker."""
     return Codec(model)
 
 
@@ -249,6 +250,7 @@ def encode_pieces(docs: DataFrame, model: bytes, text: str = "text") -> DataFram
             decoded = [codec.decode(coded.ids[i:j]) for i, j in zip(coded.cuts[:-1], coded.cuts[1:])]
             lists = [pa.ListArray.from_arrays(coded.cuts.astype(np.int32), pa.array(v)) for v in (coded.ids, coded.starts, coded.ends)]
             yield append(batch, **dict(zip(("ids", "piece_starts", "piece_ends"), lists)), decoded=pa.array(decoded, pa.string()))
+        codec.forget()
 
     numbers = T.ArrayType(T.IntegerType(), False)
     added = {"ids": numbers, "piece_starts": numbers, "piece_ends": numbers, "decoded": T.StringType()}

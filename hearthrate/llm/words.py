@@ -22,7 +22,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 # Bytes of text that one NumPy pass works on; a longer text is a pass of its own.
-PASS_BYTES = 2 << 20
+PASS_BYTES = 1 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -76,7 +76,7 @@ class Words:
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span of bytes."""
     n = len(data) + 1
-    up, down = _powers(max(1 << 22, 1 << (n - 1).bit_length()))
+    up, down = _powers(max(1 << 20, 1 << (n - 1).bit_length()))
     sums = np.zeros(n, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n - 1], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _STEP)
