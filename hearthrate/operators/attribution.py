@@ -23,6 +23,8 @@ STABILITY_SEEDS = (42, 7, 123, 2024, 999)
 STABLE_RANK_STD = 3.0
 UNION_SIZE = 15
 TOP_PER_SEED = 10
+# Nodes of a tree model whose leaves are sent to every task, some hundred bytes each.
+MOST_NODES = 500_000
 
 
 def linear_attribution(
@@ -73,7 +75,12 @@ def leaf_paths(nodes: Mapping[int, Mapping], weight: float) -> list[LeafPath]:
 
 
 def ensemble_leaves(model, spark) -> list[LeafPath]:
-    """Leaf paths of a fitted MLlib tree ensemble, read from its saved form."""
+    """Leaf paths of a fitted MLlib tree ensemble, read from its saved form.
+
+    The model's nodes come to the driver and its leaves go to every task; a model of more than ``MOST_NODES`` is refused.
+    """
+    if model.totalNumNodes > MOST_NODES:
+        raise ValueError(f"attributions of {model.totalNumNodes} nodes; at most {MOST_NODES} can be sent to the tasks")
     path = scratch_path(spark, "trees")
     model.write().save(path)
     trees: dict[int, dict[int, dict]] = {}
@@ -129,22 +136,46 @@ def attribute_batch(x: np.ndarray, leaves: Sequence[LeafPath]) -> np.ndarray:
     return phi
 
 
+def bin_edges(leaves: Sequence[LeafPath], features: int) -> list[list[float]]:
+    """For each feature the thresholds of the model, in order."""
+    edges: list[set[float]] = [set() for _ in range(features)]
+    for leaf in leaves:
+        for f, low, high in zip(leaf.features, leaf.above, leaf.up_to):
+            edges[f] |= {v for v in (low, high) if math.isfinite(v)}
+    return [sorted(e) for e in edges]
+
+
 def tree_attribution(df: DataFrame, key: str, features: Sequence[str], model) -> DataFrame:
-    """(key, base, phi): path-dependent tree attributions, a narrow stage over Arrow batches."""
+    """(key, base, phi): path-dependent tree attributions.
+
+    Rows that lie between the same thresholds in every feature have the same attributions. So rows are binned at the
+    model's thresholds, the distinct bins attributed once, and the result joined back.
+    """
     spark = df.sparkSession
     leaves = ensemble_leaves(model, spark)
     base = float(sum(leaf.value * leaf.cover_share for leaf in leaves))
-    shared = spark.sparkContext.broadcast(leaves)
-    columns = list(features)
+    edges = bin_edges(leaves, len(features))
+    shared = spark.sparkContext.broadcast((leaves, edges))
+    bins = [f"_bin{i}" for i in range(len(features))]
+    # The number of thresholds below a value; a missing value lies above all, as in the trees.
+    def bin_of(name: str, cuts: list[float]) -> Column:
+        value = F.col(name).cast("double")
+        return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda t: ~F.coalesce(value <= t, F.lit(False)))) if cuts else F.lit(0)
+
+    binned = df.select(key, *[bin_of(c, e).alias(b) for c, b, e in zip(features, bins, edges)])
 
     def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        paths, cuts = shared.value
         for batch in batches:
-            phi = attribute_batch(batch[columns].to_numpy(dtype=float), shared.value)
-            yield pd.DataFrame({key: batch[key], "base": base, "phi": list(phi)})
-
-    key_type = df.schema[key].dataType.simpleString()
-    slim = df.select(key, *[F.col(c).cast("double").alias(c) for c in columns])
-    return slim.mapInPandas(attribute, f"{key} {key_type}, base double, phi array<double>")
+            # Any value of the bin will do: its upper threshold, or infinity in the last.
+            x = np.column_stack([np.array([*e, math.inf])[batch[b].to_numpy()] for b, e in zip(bins, cuts)])
+            out = batch[bins].copy()
+            out["phi"] = list(attribute_batch(x, paths))
+            yield out
+
+    signatures = binned.select(bins).distinct()
+    phi = signatures.mapInPandas(attribute, ", ".join(f"{b} int" for b in bins) + ", phi array<double>")
+    return binned.join(phi, bins).select(key, F.lit(base).alias("base"), "phi")
 
 
 def attribution_long(attributed: DataFrame, key: str, features: Sequence[str]) -> DataFrame:

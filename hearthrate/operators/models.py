@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from hearthrate.functions.keyed import key_number
 from hearthrate.functions.nulls import ratio
-from hearthrate.functions.pricing import CAPPED_CLIP
+from hearthrate.functions.pricing import CAPPED_CLIP, price_from_log
 from hearthrate.operators.quantiles import scalar_quantile
 from hearthrate.operators.residuals import dollar_metrics
 from hearthrate.session import settle
@@ -25,7 +26,9 @@ from hearthrate.session import settle
 # Model settings and search ranges.
 RIDGE_ALPHA = 10.0
 FOREST = {"numTrees": 300, "minInstancesPerNode": 5, "maxDepth": 30}
-BOOSTED = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
+# Memory for the statistics of the nodes that one round of a forest splits.
+FOREST_MEMORY_MB = 1024
+BOOSTED = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "validationTol": 1e-4}
 SEED = 42
 TRIALS = 30
 SEARCH_RANGES = {
@@ -38,6 +41,16 @@ SEARCH_RANGES = {
     "reg_alpha": ("float", 0.0, 10.0),
     "reg_lambda": ("float", 0.0, 10.0),
 }
+# Rows a tree model is fitted on, about; all rows are scored. Its many rounds pass over these rows again and again, so
+# they are drawn by key once, kept in few partitions, and the fit costs the same at any table size.
+FIT_ROWS = 20_000
+# A deep forest holds a node for every few rows in each tree, on the driver, so it is given fewer.
+FOREST_ROWS = 2_000
+# Share of the drawn rows that tell when further rounds of boosting stop to help.
+VALIDATION_SHARE = 0.2
+FIT_PARTITION_ROWS = 5_000
+# Another seed than that of splits and folds, whose sides a draw of low hashes would otherwise follow.
+DRAW_SEED = 1009
 CURVE_FRACTIONS = (0.2, 0.4, 0.6, 0.8, 1.0)
 STABLE_FOLD_STD = 3.0
 OVERFIT_GAP = 5.0
@@ -61,7 +74,7 @@ def ridge(rows: int, label_std: float, alpha: float = RIDGE_ALPHA, standardised:
 
 
 def forest(**overrides) -> RandomForestRegressor:
-    return RandomForestRegressor(seed=SEED, **{**FOREST, **overrides})
+    return RandomForestRegressor(seed=SEED, maxMemoryInMB=FOREST_MEMORY_MB, **{**FOREST, **overrides})
 
 
 def boosted(**overrides) -> GBTRegressor:
@@ -69,6 +82,37 @@ def boosted(**overrides) -> GBTRegressor:
     return GBTRegressor(seed=SEED, **{**BOOSTED, **overrides})
 
 
+def draw_rows(df: DataFrame, key: str, most: int = FIT_ROWS, seed: int = DRAW_SEED, part_rows: int = FIT_PARTITION_ROWS) -> DataFrame:
+    """About ``most`` rows for a tree fit: those whose key hashes below a bound that one count gives.
+
+    With a share p of the rows wanted each key is in or out by its own hash, so the draw needs no sort, holds
+    under retries, and misses ``most`` by a few times its square root. Tables of at most ``most`` rows are taken whole.
+    """
+    rows = df.count()
+    parts = max(1, -(-min(rows, most) // part_rows))
+    if rows > most:
+        df = df.where(key_number(F.col(key), seed) < int((1 << 52) * most / rows))
+    return df.repartition(parts, key)
+
+
+def fit_on_draw(estimator: Estimator, df: DataFrame, key: str, most: int = FIT_ROWS) -> Model:
+    """Fit on the drawn rows, kept in memory for the rounds.
+
+    Boosting sets some of them aside: its rounds end, at the latest after ``maxIter``, when one lowers their
+    squared error by less than ``validationTol`` of it.
+    """
+    # A forest looks every row up in all its trees, so its rows are dealt more thinly.
+    deep = isinstance(estimator, RandomForestRegressor)
+    drawn = draw_rows(df, key, most, part_rows=FOREST_ROWS // 8 if deep else FIT_PARTITION_ROWS)
+    if isinstance(estimator, GBTRegressor):
+        drawn = drawn.withColumn("validation", key_number(F.col(key), DRAW_SEED + 1) < int((1 << 52) * VALIDATION_SHARE))
+        estimator = estimator.copy().setValidationIndicatorCol("validation")
+    drawn = drawn.persist(StorageLevel.MEMORY_AND_DISK)
+    model = estimator.fit(drawn)
+    drawn.unpersist()
+    return model
+
+
 def boosted_from(params: Mapping[str, float]) -> GBTRegressor:
     """Boosted trees for a point of the search space. Penalties have no MLlib counterpart and are only recorded."""
     return boosted(
@@ -139,15 +183,19 @@ def train_and_evaluate(
     fold: str | None = None,
     folds: int = 5,
     clip: tuple[float, float] | None = CAPPED_CLIP,
+    draw: tuple[str, int] | None = None,
 ) -> Trained:
-    """Cross-validate on the training side if asked, refit on all of it, measure on both sides."""
+    """Cross-validate on the training side if asked, refit on all of it, measure on both sides.
+
+    ``draw`` (key, rows) bounds the rows of the refit, for tree models; all rows of both sides are measured.
+    """
     started = time.monotonic()
     metrics: dict[str, float] = {}
     if fold is not None:
         cv = cross_validation_summary(cross_validate(train, fold, folds, make, clip), fold).first()
         metrics.update(cv_mae_mean=cv["mae_mean"], cv_mae_std=cv["mae_std"], cv_rmse_mean=cv["rmse_mean"],
                        cv_rmse_std=cv["rmse_std"], cv_r2_mean=cv["r2_mean"])
-    model = make(train).fit(train)
+    model = fit_on_draw(make(train), train, *draw) if draw else make(train).fit(train)
     metrics["train_time"] = time.monotonic() - started
     for side, data in (("train", train), ("test", test)):
         row = dollar_metrics(model.transform(data), clip=clip).first()
@@ -200,6 +248,66 @@ def random_search(
     return best_so_far(df.sparkSession.createDataFrame(rows, "trial int, params string, mae double"))
 
 
+def penalties(trials: int = TRIALS, low: float = 1.0, high: float = 1e6) -> list[float]:
+    """Ridge penalties at equal steps of their logarithm."""
+    return [low * (high / low) ** (i / max(trials - 1, 1)) for i in range(trials)]
+
+
+def fold_moments(df: DataFrame, features: Sequence[str], label: str, fold: str) -> dict[int, np.ndarray]:
+    """For each fold the sums of all products of (1, features, label): one aggregate, a small matrix a fold."""
+    columns = [F.lit(1.0), *[F.col(c).cast("double") for c in features], F.col(label)]
+    size = len(columns)
+    cells = [(i, j) for i in range(size) for j in range(i, size)]
+    sums = df.groupBy(fold).agg(*[F.sum(columns[i] * columns[j]).alias(f"s{i}_{j}") for i, j in cells])
+    out = {}
+    for row in sums.collect():
+        moments = np.zeros((size, size))
+        for i, j in cells:
+            moments[i, j] = moments[j, i] = row[f"s{i}_{j}"]
+        out[row[fold]] = moments
+    return out
+
+
+def ridge_from_moments(moments: np.ndarray, alpha: float) -> np.ndarray:
+    """Intercept and weights on raw features of a ridge with the penalty ``alpha * |w|²`` on standardised ones."""
+    n = moments[0, 0]
+    mean = moments[0, 1:] / n
+    centred = moments[1:, 1:] - n * np.outer(mean, mean)
+    scale = np.sqrt(np.maximum(np.diag(centred)[:-1] / n, 0))
+    scale[scale == 0] = 1.0
+    gram = centred[:-1, :-1] / np.outer(scale, scale) + alpha * np.eye(len(scale))
+    weights = np.linalg.lstsq(gram, centred[:-1, -1] / scale, rcond=None)[0] / scale
+    return np.concatenate([[mean[-1] - weights @ mean[:-1]], weights])
+
+
+def ridge_search(
+    df: DataFrame,
+    features: Sequence[str],
+    fold: str,
+    alphas: Sequence[float],
+    label: str = "label",
+    clip: tuple[float, float] | None = CAPPED_CLIP,
+) -> DataFrame:
+    """(trial, alpha, mae, best_so_far, improved): mean over the folds of each penalty's dollar MAE, in order.
+
+    One pass sums the moments of every fold; the training moments of a fold are the sums of the others, so the
+    models of all penalties and folds are solved from them. A second pass scores all rows under all penalties.
+    """
+    moments = fold_moments(df, features, label, fold)
+    total = sum(moments.values())
+    models_ = {k: [ridge_from_moments(total - own, a) for a in alphas] for k, own in moments.items()}
+    # Every row meets the weights of its own fold: a literal of folds x penalties x features numbers.
+    table = F.coalesce(*[F.when(F.col(fold) == k, F.array(*[F.array(*map(F.lit, w.tolist())) for w in fitted])) for k, fitted in models_.items()])
+    rows = df.select(fold, F.col(label).alias("_y"), F.array(F.lit(1.0), *[F.col(c).cast("double") for c in features]).alias("_x"), table.alias("_w"))
+    predicted = F.transform("_w", lambda w: F.aggregate(F.zip_with(w, "_x", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v))
+    rows = rows.select(fold, "_y", predicted.alias("_p"))
+    error = lambda i: F.abs(F.exp("_y") - price_from_log(F.col("_p")[i], clip))
+    per_fold = rows.groupBy(fold).agg(*[F.avg(error(i)).alias(f"m{i}") for i in range(len(alphas))])
+    mean = per_fold.agg(*[F.avg(f"m{i}").alias(f"m{i}") for i in range(len(alphas))]).first()
+    log = [(i + 1, float(a), mean[i]) for i, a in enumerate(alphas)]
+    return best_so_far(df.sparkSession.createDataFrame(log, "trial int, alpha double, mae double"))
+
+
 def best_so_far(trials: DataFrame) -> DataFrame:
     """Running minimum over the trial log (one row per trial)."""
     order = Window.partitionBy(F.lit(1)).orderBy("trial")

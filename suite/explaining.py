@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hearthrate.operators import attribution as A
-from hearthrate.operators.models import boosted
+from hearthrate.operators.models import boosted, draw_rows, fit_on_draw
 from hearthrate.session import allow_checkpoints, cut_lineage, scratch_path, settle
 from hearthrate.sources.artifacts import save_attributions
 from suite.modelling import FEATURES, KEY_SQL, line_table, vectors
@@ -72,27 +72,37 @@ def row_drivers(spark: SparkSession, sf: str) -> DataFrame:
     return A.driver_sentence(linear_rows(spark, sf), "id", FEATURES, 3)
 
 
-@query("tree_attribution", "G7 G8 K2")
+@query("tree_attribution", "G7 G8 K2", f"""
+SELECT '{'|'.join(sorted(FEATURES))}' AS features, count(*) AS n, count(*) AS additive, {len(FEATURES)} * count(*) AS saved FROM lineitem
+""")
 def tree_attribution(spark: SparkSession, sf: str) -> DataFrame:
-    """Summary of the attributions of a boosted model over every row, whose long form is saved."""
+    """How many rows' attributions add up to the model's prediction, and how many cells of the saved matrix are read back."""
     allow_checkpoints(spark)
-    rows = vectors(spark, sf, FEATURES)
-    model = boosted().fit(rows)
-    attributed = cut_lineage(A.tree_attribution(rows, "id", FEATURES, model))
-    save_attributions(attributed, "id", FEATURES, scratch_path(spark, "attributions"))
-    return A.attribution_summary(attributed, FEATURES)
+    rows = vectors(spark, sf, FEATURES).persist()
+    model = fit_on_draw(boosted(), rows, "id")
+    attributed = cut_lineage(A.tree_attribution(model.transform(rows).withColumn("both", F.struct("id", "prediction")), "both", FEATURES, model))
+    path = scratch_path(spark, "attributions")
+    save_attributions(attributed.select(F.col("both.id").alias("id"), "base", "phi"), "id", FEATURES, path)
+    total = F.col("base") + F.aggregate("phi", F.lit(0.0), lambda a, x: a + x)
+    out = attributed.agg(F.count(F.lit(1)).alias("n"), F.sum((F.abs(total - F.col("both.prediction")) < 1e-9).cast("long")).alias("additive"))
+    saved = spark.read.parquet(path)
+    names = F.array_join(F.array_sort(F.collect_set("feature")), "|")
+    back = saved.agg(names.alias("features"), F.count("attribution").alias("saved"))
+    return settle(out.withColumns({"saved": back.select("saved").scalar(), "features": back.select("features").scalar()}), rows)
 
 
 @query("importance_stability", "G12 W5 U3 U4")
 def importance_stability(spark: SparkSession, sf: str) -> DataFrame:
+    """The models of all seeds are fitted on one draw of rows; every row is attributed under each."""
     allow_checkpoints(spark)
     rows = vectors(spark, sf, FEATURES).persist()
+    drawn = draw_rows(rows, "id").persist()
     parts = []
     for seed in A.STABILITY_SEEDS:
-        model = boosted().setSeed(seed).fit(rows)
+        model = fit_on_draw(boosted().setSeed(seed), drawn, "id")
         summary = A.attribution_summary(A.tree_attribution(rows, "id", FEATURES, model), FEATURES)
         parts.append(summary.select(F.lit(seed).alias("seed"), "feature", "mean_abs"))
-    return settle(A.importance_stability(reduce(DataFrame.unionByName, parts)), rows)
+    return settle(A.importance_stability(reduce(DataFrame.unionByName, parts)), rows, drawn)
 
 
 @query("importance_ranks", "G12 W5 U3 U4", """

@@ -1,6 +1,5 @@
-"""The model queries ask for the operators' own settings; the fits themselves are made small here."""
+"""The tree queries ask for the operators' own settings; the fits themselves are made small here."""
 
-import json
 from pathlib import Path
 
 import pytest
@@ -39,22 +38,16 @@ def test_model_comparison(spark, sf_dir, asked):
     assert len(asked) == 2 and holds(asked[0], models.FOREST) and holds(asked[1], models.BOOSTED)
 
 
-def test_search(spark, sf_dir, asked, monkeypatch):
-    def searched(train, fold, folds, points):
-        assert (fold, folds) == ("fold", 5) and {r.fold for r in train.select("fold").distinct().collect()} == set(range(5))
-        assert points == models.draw_parameters(models.TRIALS) and models.TRIALS == 30
-        log = [(i, json.dumps(p, sort_keys=True), float(i)) for i, p in enumerate(points, 1)]
-        return models.best_so_far(spark.createDataFrame(log, "trial int, params string, mae double"))
-
-    monkeypatch.setattr(models, "random_search", searched)
-    assert modelling.search(spark, sf_dir).where("test_mae > 0").count() == 30
-    best = models.draw_parameters(1)[0]
-    assert [(a["maxIter"], a["maxDepth"]) for a in asked] == [(best["n_estimators"], best["max_depth"])]
+def test_search(spark, sf_dir):
+    log = modelling.search(spark, sf_dir).orderBy("trial").collect()
+    assert [r.alpha for r in log] == [round(a, 6) for a in models.penalties()] and models.TRIALS == len(log) == 30
+    assert log[-1].best_so_far == min(r.mae for r in log) and len({r.test_mae for r in log}) == 1
 
 
 def test_tree_attribution_is_saved(spark, sf_dir, asked):
     before = set(Path(shared_dir(spark)).glob("hearthrate-attributions-*"))
-    assert explaining.tree_attribution(spark, sf_dir).count() == 4
+    row, = explaining.tree_attribution(spark, sf_dir).collect()
+    assert row.n == row.additive and row.saved == 4 * row.n and row.features == "|".join(sorted(modelling.FEATURES))
     saved, = set(Path(shared_dir(spark)).glob("hearthrate-attributions-*")) - before
     assert spark.read.parquet(str(saved)).count() == 4 * modelling.line_table(spark, sf_dir).count()
     assert len(asked) == 1 and holds(asked[0], models.BOOSTED)

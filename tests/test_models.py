@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
-from hearthrate.functions.keyed import fold_of
+from hearthrate.functions.keyed import fold_of, split_side
 from hearthrate.operators import attribution as A, models
 from hearthrate.operators.design import assemble_vector
 from hearthrate.plans.flows import standardised_vectors
@@ -163,3 +163,58 @@ def test_polygon_names(spark, tmp_path):
     assert sorted(r[0] for r in names.collect()) == ["North", "South"]
     prices = spark.createDataFrame([("North", 120.0)], "neighbourhood string, median_price double")
     assert {r[0]: r[1] for r in tables.polygon_values(names, prices, "neighbourhood").collect()} == {"North": 120.0, "South": None}
+
+
+def test_draws_are_bounded_and_keyed(spark):
+    df = spark.range(20_000).withColumnRenamed("id", "key")
+    drawn = models.draw_rows(df, "key", 2_000)
+    keys = {r.key for r in drawn.collect()}
+    assert abs(len(keys) - 2_000) < 200 and drawn.rdd.getNumPartitions() == 1
+    assert keys == {r.key for r in models.draw_rows(df.repartition(7), "key", 2_000).collect()}
+    assert models.draw_rows(df.limit(50), "key", 2_000).count() == 50
+    # The draw does not follow the split of the same keys.
+    sides = df.select("key", split_side(F.col("key")).alias("side")).where(F.col("key").isin(list(keys))).groupBy("side").count().collect()
+    assert 0.12 < {r.side: r["count"] for r in sides}["test"] / len(keys) < 0.28
+
+
+def test_boosting_ends_when_rows_set_aside_gain_nothing(spark):
+    draw = np.random.default_rng(0)
+    noise = pd.DataFrame({"id": range(600), "x": draw.normal(size=600), "label": draw.normal(size=600)})
+    rows = assemble_vector(spark.createDataFrame(noise), ["x"])
+    assert models.fit_on_draw(models.boosted(maxIter=30, maxDepth=2), rows, "id").getNumTrees < 30
+
+
+@pytest.mark.parametrize("alpha", [0.0, 3.0, 500.0])
+def test_ridge_from_folds_of_moments(spark, data, alpha):
+    rows = spark.createDataFrame(data.assign(fold=data["id"] % 3, flat=1.0))
+    moments = models.fold_moments(rows, [*FEATURES, "flat"], "label", "fold")
+    got = models.ridge_from_moments(sum(moments.values()) - moments[1], alpha)
+    part = data[data["id"] % 3 != 1]
+    x, y = part[FEATURES].to_numpy(dtype=float), part["label"].to_numpy()
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    w = np.linalg.solve(z.T @ z + alpha * np.eye(x.shape[1]), z.T @ (y - y.mean())) / x.std(axis=0)
+    assert got[1:-1] == pytest.approx(w, abs=1e-8) and got[-1] == pytest.approx(0, abs=1e-8)
+    assert got[0] + got[-1] == pytest.approx(y.mean() - w @ x.mean(axis=0), abs=1e-7)
+
+
+def test_ridge_search_scores_each_fold_by_the_others(spark, data):
+    data = data.assign(fold=data["id"] % 4)
+    log = models.ridge_search(spark.createDataFrame(data), FEATURES, "fold", [0.5, 50.0], clip=None).orderBy("trial").collect()
+    for row in log:
+        maes = []
+        for k in range(4):
+            train, test = data[data["fold"] != k], data[data["fold"] == k]
+            x = train[FEATURES].to_numpy(dtype=float)
+            mean, std = x.mean(axis=0), x.std(axis=0)
+            z, y = (x - mean) / std, train["label"].to_numpy()
+            w = np.linalg.solve(z.T @ z + row.alpha * np.eye(z.shape[1]), z.T @ (y - y.mean()))
+            p = y.mean() + ((test[FEATURES].to_numpy(dtype=float) - mean) / std) @ w
+            maes.append(np.abs(np.exp(test["label"]) - np.exp(p)).mean())
+        assert row.mae == pytest.approx(np.mean(maes), rel=1e-9)
+
+
+def test_large_models_are_not_sent(spark, rows, monkeypatch):
+    monkeypatch.setattr(A, "MOST_NODES", 3)
+    model = GBTRegressor(maxIter=2, maxDepth=2, seed=1).fit(rows)
+    with pytest.raises(ValueError, match="nodes"):
+        A.tree_attribution(rows, "id", FEATURES, model)
