@@ -236,7 +236,10 @@ def _connect(members: DataFrame, sets: DataFrame, percent: int, scratch: Scratch
         scratch.drop(old, centres)
         if rest.isEmpty():
             break
-        members, bounded = scratch.store(_open(_may_link(rest.join(_shared(rest, sets), "id"), percent))), True
-        scratch.drop(rest)
+        # Each step is stored, as the next one reads it twice.
+        rated = scratch.store(rest.join(_shared(rest, sets), "id"))
+        able = scratch.store(_may_link(rated, percent))
+        members, bounded = scratch.store(_open(able)), True
+        scratch.drop(rest, rated, able)
         centres_per_bucket *= GROWTH
     return labels
