@@ -170,6 +170,37 @@ def table_statistics(df: DataFrame) -> DataFrame:
     )
 
 
+def gate_measures(df: DataFrame) -> list[Column]:
+    """What the strict gate needs of a table's rows: their number, and the missing cells of each column."""
+    missing = [F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(f"missing_{i}") for i, c in enumerate(df.columns)]
+    return [F.count(F.lit(1)).alias("rows"), *missing]
+
+
+def gate_from_measures(
+    df: DataFrame,
+    measures: Mapping[str, int],
+    required: Sequence[str] = REQUIRED_COLUMNS,
+    target: str = "price",
+    min_rows: int = STRICT_ROWS,
+    max_null_rate: float = STRICT_NULL_RATE,
+) -> DataFrame:
+    """The failures ``strict_gate`` finds, from measures observed while the table was computed: no scan."""
+    found = [("missing_column", c) for c in required if c not in df.columns]
+    numeric = target in df.columns and isinstance(df.schema[target].dataType, NUMERIC_TYPES)
+    if target in df.columns and not numeric:
+        found.append(("target_not_numeric", target))
+    rows = measures["rows"]
+    if rows < min_rows:
+        found.append(("too_few_rows", str(rows)))
+    for i, column in enumerate(df.columns):
+        missing = measures[f"missing_{i}"]
+        if column == target and numeric and missing:
+            found.append(("target_has_nulls", column))
+        if rows and missing / rows > max_null_rate:
+            found.append(("null_rate", column))
+    return df.sparkSession.createDataFrame(found, "check string, detail string")
+
+
 def strict_gate(
     df: DataFrame,
     required: Sequence[str] = REQUIRED_COLUMNS,

@@ -5,16 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from hearthrate.functions.keyed import fold_of, split_side
 from hearthrate.functions.pricing import PRICE_CAP, WIDE_CLIP
-from hearthrate.operators.clean import TARGET_DERIVED_COLUMNS, cap_price, drop_columns
+from hearthrate.operators.clean import TARGET_DERIVED_COLUMNS, cap_price, clean_listings, drop_columns, drop_missing_target
 from hearthrate.operators.design import DesignMatrix, assemble_vector, standardise
 from hearthrate.operators.features import listing_features, text_features
 from hearthrate.operators.impute import NullPolicy
-from hearthrate.operators.models import Trained, boosted, comparison_table, forest, linear, ridge, train_and_evaluate
+from hearthrate.operators.models import FIT_ROWS, FOREST_ROWS, Trained, boosted, comparison_table, forest, linear, ridge, train_and_evaluate
 from hearthrate.operators.panel import attach_panel_features, panel_features, price_lookup
+from hearthrate.operators.quality import gate_from_measures, gate_measures
 from hearthrate.operators.recency import attach_review_features, review_features
 from hearthrate.operators.selection import Selection, select_features
 from hearthrate.session import cut_lineage
@@ -54,6 +55,24 @@ def feature_table(
     return FeatureTable(selection.transform(complete), policy, selection)
 
 
+def clean_and_gate(listings: DataFrame, path: str, **limits) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Clean the listings into ``path``; the written table, the gate's failures and the rows of each step.
+
+    One pass does it all: the gate is decided from measures observed while the cleaned rows are written.
+    ``limits`` are those of the strict gate.
+    """
+    cleaned = clean_listings(listings)
+    seen = Observation("gate")
+    cleaned.table.observe(seen, *gate_measures(cleaned.table)).write.mode("overwrite").parquet(path)
+    written = listings.sparkSession.read.schema(cleaned.table.schema).parquet(path)
+    if written.isEmpty():
+        # Where Spark knows the rows to be none it drops the observations; there is next to nothing to count then.
+        nothing = dict.fromkeys(["rows", *(f"missing_{i}" for i in range(len(cleaned.table.columns)))], 0)
+        steps = {"raw": listings.count(), "priced": drop_missing_target(listings).count(), "distinct": 0}
+        return written, gate_from_measures(cleaned.table, nothing, **limits), steps
+    return written, gate_from_measures(cleaned.table, seen.get, **limits), cleaned.step_counts()
+
+
 @dataclass
 class TrainingSet:
     design: DesignMatrix
@@ -78,8 +97,8 @@ def training_set(features: DataFrame, key: str = "id", cap: float | None = PRICE
     )
 
 
-def compare_models(data: TrainingSet, cross_validated: bool = True, tree_settings: dict | None = None) -> tuple[list[Trained], DataFrame]:
-    """Linear, ridge, forest and boosted models side by side, best test MAE first."""
+def compare_models(data: TrainingSet, cross_validated: bool = True, tree_settings: dict | None = None, key: str = "id") -> tuple[list[Trained], DataFrame]:
+    """Linear, ridge, forest and boosted models side by side, best test MAE first; trees are fitted on a bounded draw by ``key``."""
     settings = tree_settings or {}
     fold = "fold" if cross_validated else None
 
@@ -93,8 +112,9 @@ def compare_models(data: TrainingSet, cross_validated: bool = True, tree_setting
         "forest": lambda _: forest(**settings.get("forest", {})),
         "boosted": lambda _: boosted(**settings.get("boosted", {})),
     }
+    draws = {"forest": (key, FOREST_ROWS), "boosted": (key, FIT_ROWS)}
     trained = [
-        train_and_evaluate(name, make, data.train, data.test, fold, clip=WIDE_CLIP) for name, make in makers.items()
+        train_and_evaluate(name, make, data.train, data.test, fold, clip=WIDE_CLIP, draw=draws.get(name)) for name, make in makers.items()
     ]
     return trained, comparison_table(data.train, trained)
 

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hearthrate.session import RESULT_ROWS
+
 KINDS = ("params", "metrics", "tags")
 RUN_SCHEMA = "run_id string, kind string, key string, value string"
 
@@ -34,6 +36,24 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_SCHEMA).parquet(path)
 
 
+def write_run_files(runs: DataFrame, path: str, at_ms: int, most: int = RESULT_ROWS) -> None:
+    """One small file per entry, ``<run>/<kind>/<key>``, a metric's with time, value and step.
+
+    The driver writes the files, as tracking tools do; the entries of more than ``most`` are refused.
+    """
+    rows = runs.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} run entries")
+    spark = runs.sparkSession
+    jvm = spark._jvm
+    for row in rows:
+        text = f"{at_ms} {row['value']} 0\n" if row["kind"] == "metrics" else str(row["value"])
+        file = jvm.org.apache.hadoop.fs.Path(f"{path}/{row['run_id']}/{row['kind']}/{row['key']}")
+        stream = file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True)
+        stream.write(bytearray(text, "utf-8"))
+        stream.close()
+
+
 def scan_run_files(spark: SparkSession, path: str) -> DataFrame:
     """Runs kept as one small file per entry: ``<run>/<kind>/<key>``.
 

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hearthrate.operators.clean import (
     cap_price, cap_report, clean_listings, clip_at_quantile, clip_symmetric, keep_below_quantile, positive_price,
 )
+from hearthrate.operators.quality import REQUIRED_COLUMNS, STRICT_NULL_RATE, STRICT_ROWS
+from hearthrate.plans.flows import clean_and_gate
+from hearthrate.session import scratch_path
 from suite.registry import query, rounded, table
 
 
@@ -39,6 +42,24 @@ def clean_prices(spark: SparkSession, sf: str) -> DataFrame:
     return clean_listings(raw_listings(spark, sf)).table
 
 
+@query("clean_gate", "C5 Q8", RAW_SQL + f""",
+n AS (SELECT count(*) AS n, count(price) AS priced, count(status) AS status FROM clean),
+req(c) AS (VALUES {", ".join(f"('{c}')" for c in REQUIRED_COLUMNS)})
+SELECT 'missing_column' AS "check", c AS detail FROM req WHERE c NOT IN ('id', 'status', 'price')
+UNION ALL SELECT 'too_few_rows', n::VARCHAR FROM n WHERE n < {STRICT_ROWS}
+UNION ALL SELECT 'target_has_nulls', 'price' FROM n WHERE priced < n
+UNION ALL SELECT 'null_rate', 'price' FROM n WHERE (n - priced) / n > {STRICT_NULL_RATE}
+UNION ALL SELECT 'rows_raw', count(*)::VARCHAR FROM raw
+UNION ALL SELECT 'rows_priced', count(*)::VARCHAR FROM raw WHERE price IS NOT NULL
+UNION ALL SELECT 'rows_distinct', n::VARCHAR FROM n
+""")
+def clean_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """What the gate finds in the listings being cleaned, and the rows that each step of the cleaning saw."""
+    _, failures, steps = clean_and_gate(raw_listings(spark, sf), scratch_path(spark, "clean"))
+    counts = spark.createDataFrame([(f"rows_{k}", str(v)) for k, v in steps.items()], "check string, detail string")
+    return failures.unionByName(counts)
+
+
 @query("price_cap", "C7 C8", """
 WITH p AS (SELECT o_orderstatus AS status, o_totalprice / 900.0 AS price FROM orders),
 t AS (SELECT count(*) AS total, count(CASE WHEN price <= 500 THEN 1 END) AS kept FROM p)

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hearthrate.functions import geo, parsing, wording
 from hearthrate.functions.nulls import clamp, flag
 from hearthrate.functions.pricing import log_price, price_from_log
-from hearthrate.operators.features import activity_features, interaction_features, text_features
+from hearthrate.operators.features import activity_features, interaction_features, listing_features, text_features
 from hearthrate.operators.profile import flag_coverage
 from hearthrate.operators.sentiment import NEGATORS, STRENGTHENERS, WEAKENERS, score_sentiment
-from hearthrate.session import spread
+from hearthrate.session import scratch_path, spread
+from hearthrate.sources.tables import read_dimension, write_delimited
 from suite.registry import query, rounded, table
 
 
@@ -235,3 +236,49 @@ def listing_activity(spark: SparkSession, sf: str) -> DataFrame:
     made = lines.transform(activity_features).transform(interaction_features)
     names = ("availability_rate", "review_score_avg", "size_quality_score", "host_quality_score")
     return rounded(made.select("l_orderkey", "l_linenumber", "reviews_active", "days_since_last_review", *names), *names, digits=9)
+
+
+_LISTED = {
+    "price": "c_acctbal + 1000.0e0", "amenities": """CASE c_custkey % 3 WHEN 0 THEN '["a", "b"]' WHEN 1 THEN '[]' END""",
+    "host_is_superhost": "CASE WHEN c_custkey % 2 = 0 THEN 't' ELSE 'f' END", "host_response_rate": "concat(c_custkey % 101, '%')",
+    "host_acceptance_rate": "concat(c_custkey % 97, '%')", "instant_bookable": "CASE WHEN c_custkey % 5 = 0 THEN 't' END",
+    "host_has_profile_pic": "'t'", "host_identity_verified": "'f'",
+    "review_scores_rating": "CASE WHEN c_custkey % 7 > 0 THEN (c_custkey % 50) / 10.0e0 END", "review_scores_value": "(c_custkey % 40) / 10.0e0",
+    "availability_365": "c_custkey % 366", "number_of_reviews_l30d": "c_custkey % 4", "accommodates": "c_custkey % 8 + 1",
+    "latitude": "47 + (c_custkey % 100) / 100.0e0", "longitude": "-122 - (c_custkey % 50) / 100.0e0",
+}
+_LISTED_SQL = ", ".join(f"{e.replace('e0', '::DOUBLE')} AS {c}" for c, e in _LISTED.items())
+
+
+@query("listing_pipeline", "F16 S4 J1 W4", f"""
+WITH l AS (SELECT c_custkey AS id, n_name AS area, r_name AS neighbourhood_group, {_LISTED_SQL},
+    CASE WHEN c_custkey % 11 > 0 THEN DATE '2010-01-01' + (c_custkey % 4000)::INTEGER END AS since, DATE '2023-01-01' + (c_custkey % 500)::INTEGER AS reviewed
+  FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey),
+s AS (SELECT *, CASE WHEN review_scores_rating IS NULL THEN review_scores_value ELSE (review_scores_rating + review_scores_value) / 2 END AS score FROM l)
+SELECT id, CASE id % 3 WHEN 0 THEN 2 ELSE 0 END AS amenities_count, round((DATE '2024-06-30' - since) / 365.25::DOUBLE, 6) AS host_experience_years,
+  (host_is_superhost = 't')::INTEGER AS is_superhost, round(score, 6) AS review_score_avg, round(availability_365 / 365.0::DOUBLE, 6) AS availability_rate,
+  (number_of_reviews_l30d > 0)::INTEGER AS reviews_active, DATE '2024-06-30' - reviewed AS days_since_last_review,
+  round(accommodates * review_scores_rating, 6) AS size_quality_score, round((host_is_superhost = 't')::INTEGER * score, 6) AS host_quality_score,
+  round(2 * 6371 * asin(least(1, sqrt(pow(sin(radians(47.6062 - latitude) / 2), 2)
+    + cos(radians(latitude)) * cos(radians(47.6062)) * pow(sin(radians(-122.3321 - longitude) / 2), 2)))), 6) AS distance_to_downtown,
+  neighbourhood_group, round(avg(price) OVER (PARTITION BY area), 6) AS neighbourhood_avg_price,
+  round(avg(price) OVER (PARTITION BY neighbourhood_group), 6) AS neighbourhood_group_avg_price
+FROM s
+""")
+def listing_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as listings through all structured features; areas are written as CSV and read as a dimension."""
+    nations, regions = table(spark, sf, "nation"), table(spark, sf, "region")
+    path = scratch_path(spark, "areas")
+    areas = nations.join(regions, F.col("r_regionkey") == F.col("n_regionkey"))
+    write_delimited(areas.select(F.col("r_name").alias("neighbourhood_group"), F.col("n_name").alias("neighbourhood")), path)
+    named = table(spark, sf, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    day = lambda start, span: F.date_add(F.lit(start).cast("date"), (F.col("c_custkey") % span).cast("int")).cast("string")
+    listings = named.select(
+        F.col("c_custkey").alias("id"), F.col("n_name").alias("neighbourhood_cleansed"), *[F.expr(e).alias(c) for c, e in _LISTED.items()],
+        F.lit("2024-06-30").alias("last_scraped"), F.when(F.col("c_custkey") % 11 > 0, day("2010-01-01", 4000)).alias("host_since"), day("2023-01-01", 500).alias("last_review"),
+    )
+    featured = listing_features(listings, read_dimension(spark, path))
+    exact = ["id", "amenities_count", "is_superhost", "reviews_active", "days_since_last_review", "neighbourhood_group"]
+    near = ["host_experience_years", "review_score_avg", "availability_rate", "size_quality_score", "host_quality_score", "distance_to_downtown",
+            "neighbourhood_avg_price", "neighbourhood_group_avg_price"]
+    return rounded(featured.select(*exact, *near), *near)

@@ -58,27 +58,46 @@ def polygon_prices(spark: SparkSession, sf: str) -> DataFrame:
 _FACTORS = {"plain": 1.0, "raised": 1.1, "lowered": 0.85}
 
 
-@query("runs_summary", "S7 K5 R11", "WITH " + PREDICTED + ", r AS (" + " UNION ALL ".join(
+def measured_runs(spark: SparkSession, sf: str) -> list[DataFrame]:
+    rows = results(spark, sf)
+    out = []
+    for name, factor in _FACTORS.items():
+        error = F.col("predicted") * factor - F.col("actual")
+        measured = rows.agg(
+            F.round(F.avg(F.abs(error)), 4).alias("test_mae"), F.round(F.sqrt(F.avg(error * error)), 4).alias("test_rmse")
+        ).first().asDict()
+        tags = {"production": "true"} if name == "plain" else {}
+        out.append(runs.run_rows(spark, name, {"model_name": f"model {name}"}, measured, tags))
+    return out
+
+
+_RUNS_SQL = "WITH " + PREDICTED + ", r AS (" + " UNION ALL ".join(
     f"SELECT '{name}' AS run_id, round(avg(abs(predicted * {f} - actual)), 4) AS test_mae, "
     f"round(sqrt(avg((predicted * {f} - actual) * (predicted * {f} - actual))), 4) AS test_rmse FROM res"
     for name, f in _FACTORS.items()
 ) + """)
 SELECT run_id, test_mae, test_rmse, 'model ' || run_id AS model_name, (run_id = 'plain')::INTEGER AS production FROM r
-""")
+"""
+
+
+@query("runs_summary", "K5 R11", _RUNS_SQL)
 def runs_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Three runs measured on the orders, appended to the log and read back."""
     path = scratch_path(spark, "runs")
-    rows = results(spark, sf)
-    for name, factor in _FACTORS.items():
-        error = F.col("predicted") * factor - F.col("actual")
-        measured = rows.agg(
-            F.round(F.avg(F.abs(error)), 4).alias("test_mae"), F.round(F.sqrt(F.avg(error * error)), 4).alias("test_rmse")
-        ).first().asDict()
-        tags = {"production": "true"} if name == "plain" else {}
-        runs.append_runs(runs.run_rows(spark, name, {"model_name": f"model {name}"}, measured, tags), path)
+    for run in measured_runs(spark, sf):
+        runs.append_runs(run, path)
     return runs.run_summary(runs.read_runs(spark, path), ["test_mae", "test_rmse"])
 
 
+@query("run_files", "S7 R11", _RUNS_SQL)
+def run_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The same runs as one small file per entry, scanned and summarised."""
+    path = scratch_path(spark, "run-files")
+    for run in measured_runs(spark, sf):
+        runs.write_run_files(run, path, at_ms=1_700_000_000_000)
+    return runs.run_summary(runs.scan_run_files(spark, path), ["test_mae", "test_rmse"])
+
+
 @query("artifact_scores", "K3 G5", """
 WITH t AS (SELECT o_orderkey AS id, o_totalprice / 900.0 AS price, o_custkey::DOUBLE AS accommodates FROM orders),
 f AS (SELECT regr_slope(ln(price), accommodates) AS b, regr_intercept(ln(price), accommodates) AS a FROM t)
