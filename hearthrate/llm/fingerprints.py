@@ -1,11 +1,12 @@
 """Homomorphic multiset fingerprints of documents.
 
-A paragraph (a non-empty line) is hashed to a wide vector of 16-bit lanes; a
-document's fingerprint is the sum of its paragraphs' vectors modulo 2^16. It
+A paragraph (a non-empty line) is hashed to a wide vector of 64-bit lanes; a
+document's fingerprint is the sum of its paragraphs' vectors modulo 2^64. It
 does not depend on their order, and paragraphs can be added or taken away
-without the rest of the text. The first lanes are uniform in the paragraph's
-hash and serve equality; the others are a signed count sketch of its runs of
-three words, so the cosine of two sketches estimates how much text is shared.
+without the rest of the text: ``merge`` and ``remove`` work on fingerprints alone.
+The first lanes are uniform in the paragraph's hash and serve equality; the others
+are a signed count sketch of its runs of three words, so the cosine of two sketches
+estimates how much text is shared. Likeness is that of the fingerprints themselves.
 """
 
 from __future__ import annotations
@@ -17,22 +18,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 from hearthrate.llm.batches import SLICE_BYTES
 from hearthrate.llm.words import hash_spans, mix, split
 
-IDENTITY_LANES = 64
+IDENTITY_LANES = 16
 SKETCH_LANES = 256
 RUN = 3
-# Largest number of ranges of ids that the bounds are asked for.
+# Largest number of ranges of ids that the bounds are asked for; beyond it ranges grow with the table.
 MOST_RANGES = 20_000
 _LEAST = -(1 << 63)
 
 
-def whole_lanes(texts: list[str]) -> np.ndarray:
-    """One row of IDENTITY_LANES + SKETCH_LANES unsigned 64-bit lanes for each text: fingerprints before their modulus."""
+def fingerprints(texts: list[str]) -> np.ndarray:
+    """One row of IDENTITY_LANES + SKETCH_LANES unsigned 64-bit lanes for each text."""
     raw = [t.encode("utf-8", "replace") for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
     data = np.frombuffer(b"".join(raw), dtype=np.uint8)
@@ -46,8 +47,8 @@ def whole_lanes(texts: list[str]) -> np.ndarray:
     real = ~line[starts]
     starts, ends = starts[real], ends[real]
     doc = np.searchsorted(offsets, starts, "right") - 1
-    lanes = np.arange(1, IDENTITY_LANES // 4 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    vectors = mix(hash_spans(data, starts, ends)[:, None] + lanes).view(np.uint16)
+    lanes = np.arange(1, IDENTITY_LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    vectors = mix(hash_spans(data, starts, ends)[:, None] + lanes)
     if len(doc):
         begins = np.flatnonzero(np.diff(doc, prepend=-1))
         out[doc[begins], :IDENTITY_LANES] = np.add.reduceat(vectors, begins, axis=0, dtype=np.uint64)
@@ -70,24 +71,43 @@ def whole_lanes(texts: list[str]) -> np.ndarray:
     return out
 
 
-def fingerprints(texts: list[str]) -> np.ndarray:
-    """One row of IDENTITY_LANES + SKETCH_LANES unsigned 16-bit lanes for each text."""
-    return whole_lanes(texts).astype(np.uint16)
-
-
 def likeness(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Cosine of the sketches, at least 0; 1 for equal lanes, 0 if only one is of an empty text.
-
-    Lanes of 16 bits change sign where a line is repeated more than 32,767 times; whole lanes do not.
-    """
-    a, b = (x[:, IDENTITY_LANES:].view(f"i{x.itemsize}").astype(np.float64) for x in (left, right))
+    """Cosine of the sketches, at least 0; 1 for equal fingerprints, 0 if only one is of an empty text."""
+    a, b = (x[:, IDENTITY_LANES:].view(np.int64).astype(np.float64) for x in (left, right))
     dot, size = (a * b).sum(axis=1), np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1))
     cosine = np.divide(dot, size, out=np.zeros(len(a)), where=size > 0)
     return np.where((left == right).all(axis=1), 1.0, np.clip(cosine, 0.0, 1.0))
 
 
 def to_text(prints: np.ndarray) -> list[str]:
-    return [binascii.b2a_base64(row.tobytes(), newline=False).decode() for row in prints]
+    return [binascii.b2a_base64(row.tobytes(), newline=False).decode() for row in prints.astype("<u8")]
+
+
+def from_text(codes: list[str | None]) -> np.ndarray:
+    """The lanes of fingerprints written by ``to_text``; null is that of an empty text."""
+    out = np.zeros((len(codes), IDENTITY_LANES + SKETCH_LANES), dtype=np.uint64)
+    for i, code in enumerate(codes):
+        if code is not None:
+            out[i] = np.frombuffer(binascii.a2b_base64(code), dtype="<u8")
+    return out
+
+
+@pandas_udf(T.StringType())
+def merge(left: pd.Series, right: pd.Series) -> pd.Series:
+    """The fingerprint of the paragraphs of both; a null is an empty text."""
+    return pd.Series(to_text(from_text(left.tolist()) + from_text(right.tolist())))
+
+
+@pandas_udf(T.StringType())
+def remove(whole: pd.Series, part: pd.Series) -> pd.Series:
+    """The fingerprint left when the paragraphs of ``part``, which must be in ``whole``, are taken away."""
+    return pd.Series(to_text(from_text(whole.tolist()) - from_text(part.tolist())))
+
+
+@pandas_udf(T.DoubleType())
+def alike(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Likeness of two columns of fingerprints."""
+    return pd.Series(likeness(from_text(left.tolist()), from_text(right.tolist())))
 
 
 def add_fingerprint(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -167,14 +187,14 @@ def compare_with_next(docs: DataFrame, key: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in groups(batches):
             texts = [t for _, t in held]
-            own = whole_lanes(texts)
+            own = fingerprints(texts)
             changed = [half_replaced(a, b) for a, b in zip(texts[:-1], texts[1:])]
-            edited = whole_lanes(changed)
+            edited = fingerprints(changed)
             yield pa.RecordBatch.from_arrays([
                 pa.array([k for k, _ in held[:-1]], pa.int64()),
                 pa.array([len(t) for t in texts[:-1]], pa.int64()),
                 pa.array([hashlib.sha256(t.encode()).hexdigest() for t in changed]),
-                pa.array(to_text(own[:-1].astype(np.uint16))), pa.array(to_text(edited.astype(np.uint16))),
+                pa.array(to_text(own[:-1])), pa.array(to_text(edited)),
                 pa.array(likeness(own[:-1], edited)), pa.array(likeness(own[:-1], own[1:])),
             ], names=["key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
