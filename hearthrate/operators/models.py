@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from hearthrate.functions.keyed import key_number
 from hearthrate.functions.nulls import ratio
 from hearthrate.functions.pricing import CAPPED_CLIP, price_from_log
-from hearthrate.operators.quantiles import scalar_quantile
+from hearthrate.operators.quantiles import column_quantiles
 from hearthrate.operators.residuals import dollar_metrics
 from hearthrate.session import settle
 
@@ -322,16 +322,25 @@ def best_parameters(trials: DataFrame) -> dict[str, float]:
     return json.loads(trials.orderBy("mae", "trial").first()["params"])
 
 
+def prefix_bounds(hashed: DataFrame, fractions: Sequence[float]) -> list[float | None]:
+    """For each fraction the largest ``_hash`` of its part, none for all rows: one count and one quantile call for all."""
+    total = hashed.count()
+    # Half a rank past the last wanted row, so the bound falls between two hashes.
+    probs = {f: min(1.0, (max(1, int(total * f)) - 0.5) / max(total - 1, 1)) for f in fractions if f < 1}
+    wanted = sorted(set(probs.values()))
+    found = column_quantiles(hashed.select("_hash"), ["_hash"], wanted) if wanted and total else {}
+    at = dict(zip(wanted, found.get("_hash", [])))
+    return [at.get(probs[f]) if f in probs else None for f in fractions]
+
+
+def _prefix(hashed: DataFrame, bound: float | None) -> DataFrame:
+    return hashed if bound is None else hashed.where(F.col("_hash") <= F.lit(bound).cast("double"))
+
+
 def training_prefix(df: DataFrame, key: str, fraction: float, seed: int = SEED) -> DataFrame:
     """The fraction of rows whose key hashes lowest: nested subsets of exact size."""
     hashed = df.withColumn("_hash", key_number(F.col(key), seed))
-    if fraction >= 1:
-        return hashed.drop("_hash")
-    total = df.count()
-    rows = max(1, int(total * fraction))
-    # Half a rank past the last wanted row, so the bound falls between two hashes.
-    bound = scalar_quantile(hashed.select("_hash"), "_hash", min(1.0, (rows - 0.5) / max(total - 1, 1)))
-    return hashed.where(F.col("_hash") <= F.lit(bound).cast("double")).drop("_hash")
+    return _prefix(hashed, prefix_bounds(hashed, [fraction])[0]).drop("_hash")
 
 
 def learning_curve(
@@ -343,10 +352,10 @@ def learning_curve(
     clip: tuple[float, float] | None = CAPPED_CLIP,
 ) -> DataFrame:
     """(fraction, n_train, train_mae, val_mae, gap) for growing parts of the training rows."""
-    data = train.persist(StorageLevel.MEMORY_AND_DISK)
+    data = train.withColumn("_hash", key_number(F.col(key), SEED)).persist(StorageLevel.MEMORY_AND_DISK)
     parts = []
-    for fraction in fractions:
-        part = training_prefix(data, key, fraction)
+    for fraction, bound in zip(fractions, prefix_bounds(data, fractions)):
+        part = _prefix(data, bound).drop("_hash")
         model = make(part).fit(part)
         seen = dollar_metrics(model.transform(part), clip=clip)
         unseen = dollar_metrics(model.transform(validation), clip=clip)
