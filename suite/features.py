@@ -10,6 +10,7 @@ from hearthrate.functions.pricing import log_price, price_from_log
 from hearthrate.operators.features import activity_features, interaction_features, listing_features, text_features
 from hearthrate.operators.profile import flag_coverage
 from hearthrate.operators.sentiment import NEGATORS, STRENGTHENERS, WEAKENERS, score_sentiment
+from hearthrate.operators.sparse import SparseEncoder
 from hearthrate.session import scratch_path, spread
 from hearthrate.sources.tables import read_dimension, write_delimited
 from suite.registry import query, rounded, table
@@ -282,3 +283,22 @@ def listing_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     near = ["host_experience_years", "review_score_avg", "availability_rate", "size_quality_score", "host_quality_score", "distance_to_downtown",
             "neighbourhood_avg_price", "neighbourhood_group_avg_price"]
     return rounded(featured.select(*exact, *near), *near)
+
+
+@query("one_hot_sparse", "M3", """
+WITH t AS (SELECT c_custkey, c_mktsegment AS a, CASE WHEN c_custkey % 9 > 0 THEN c_name END AS b FROM customer),
+a AS (SELECT a, row_number() OVER (ORDER BY a) - 1 AS place FROM (SELECT DISTINCT a FROM t)),
+b AS (SELECT b, row_number() OVER (ORDER BY b) - 1 AS place FROM (SELECT DISTINCT b FROM t WHERE b IS NOT NULL)),
+n AS (SELECT (SELECT count(*) - 1 FROM a) AS na, (SELECT count(*) - 1 FROM b) AS nb)
+SELECT c_custkey, (na + nb)::INTEGER AS width, ((coalesce(a.place, 0) > 0)::INTEGER + (coalesce(b.place, 0) > 0)::INTEGER)::DOUBLE AS hot,
+  (CASE WHEN a.place > 0 THEN a.place ELSE 0 END + CASE WHEN b.place > 0 THEN na + b.place ELSE 0 END)::DOUBLE AS places
+FROM t LEFT JOIN a USING (a) LEFT JOIN b USING (b), n
+""")
+def one_hot_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """Segments and names, a category for each customer, as one sparse vector: its width, its ones and the sum of their places."""
+    rows = table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("a"), F.when(F.col("c_custkey") % 9 > 0, F.col("c_name")).alias("b"))
+    encoded = SparseEncoder.fit(rows, ["a", "b"]).transform(rows)
+    # The sparse vector's own indices, from its JSON form, so that no dense array is made.
+    parts = F.from_json(F.to_json(F.struct("features")), "features struct<type int, size int, indices array<int>, values array<double>>")["features"]
+    total = F.aggregate(parts["indices"], F.lit(0.0), lambda s, i: s + i + 1)
+    return encoded.select("c_custkey", parts["size"].alias("width"), F.aggregate(parts["values"], F.lit(0.0), lambda s, v: s + v).alias("hot"), total.alias("places"))
