@@ -17,7 +17,7 @@ from sentencepiece import sentencepiece_model_pb2 as proto
 
 from hearthrate.llm.words import Words, hash_spans, split
 
-# A longer word is taken as consecutive parts of so many bytes.
+# Words of at most so many bytes are worked on together, by length; a longer one on its own, in steps of so many bytes.
 LONGEST_WORD = 192
 # Offset of the rank in the vocabulary's scores, taken as a Zipf law, and the share of the single bytes.
 RANK_OFFSET = 10.0
@@ -83,15 +83,71 @@ def refined(vocab: Vocabulary, counts: np.ndarray) -> np.ndarray:
 
 
 def _by_length(words: Words, which: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places in ``which``, their spelled bytes as a matrix), for each length; long words in several parts."""
-    starts, ends = words.starts[which], words.ends[which]
-    place = np.arange(len(which))
-    for at in range(0, int((ends - starts).max(initial=0)), LONGEST_WORD):
-        left = np.clip(ends - starts - at, 0, LONGEST_WORD)
-        for size in np.unique(left[left > 0]):
-            chosen = place[left == size]
-            body = words.data[(starts[chosen] + at)[:, None] + np.arange(size)]
-            yield chosen, np.hstack([np.full((len(chosen), int(at == 0)), 0x20, dtype=np.uint8), body])
+    """(places in ``which``, their spelled bytes as a matrix), for each length up to ``LONGEST_WORD``."""
+    starts, sizes = words.starts[which], words.ends[which] - words.starts[which]
+    for size in np.unique(sizes[sizes <= LONGEST_WORD]):
+        chosen = np.flatnonzero(sizes == size)
+        body = words.data[starts[chosen][:, None] + np.arange(size)]
+        yield chosen, np.hstack([np.full((len(chosen), 1), 0x20, dtype=np.uint8), body])
+
+
+def _long_words(words: Words, which: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(place in ``which``, spelled bytes) of each longer word."""
+    for k in np.flatnonzero(words.ends[which] - words.starts[which] > LONGEST_WORD).tolist():
+        yield k, np.concatenate([np.array([0x20], dtype=np.uint8), words.data[words.starts[which[k]]:words.ends[which[k]]]])
+
+
+def _arcs_to(vocab: Vocabulary, spelled: np.ndarray, low: int, high: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each end in (low, high] of one word: where its arcs start, and their pieces."""
+    widths = np.arange(2, vocab.longest + 1)
+    ends = np.arange(low + 1, high + 1)
+    begin = ends[:, None] - widths
+    fits = begin >= 0
+    from_ = max(0, low + 1 - vocab.longest)
+    pieces = np.full(begin.shape, -1, dtype=np.int64)
+    pieces[fits] = vocab.find(hash_spans(spelled[from_:high], begin[fits] - from_, (np.broadcast_to(ends[:, None], begin.shape))[fits] - from_))
+    out = []
+    for row, end in enumerate(ends.tolist()):
+        hit = np.flatnonzero(pieces[row] >= 0)
+        out.append((np.append(end - 1, begin[row, hit]), np.append(int(spelled[end - 1]) + vocab.size - 256, pieces[row, hit])))
+    return out
+
+
+def _forward(vocab: Vocabulary, logp: np.ndarray, spelled: np.ndarray, keep: bool) -> np.ndarray:
+    """Log probability of each beginning of a long word; without ``keep`` that of the whole word alone.
+
+    Values are carried from step to step as far as the longest piece reaches, so no segmentation is left out.
+    """
+    length, reach = len(spelled), vocab.longest
+    alpha = np.full((length + 1 if keep else LONGEST_WORD + reach + 1, *logp.shape[1:]), -np.inf)
+    base = 0
+    alpha[0] = 0.0
+    for low in range(0, length, LONGEST_WORD):
+        high = min(low + LONGEST_WORD, length)
+        if not keep and low - base > reach:
+            alpha[:reach + 1] = alpha[low - base - reach:low - base + 1].copy()
+            base = low - reach
+        for end, (starts, pieces) in enumerate(_arcs_to(vocab, spelled, low, high), low + 1):
+            alpha[end - base] = np.logaddexp.reduce(alpha[starts - base] + logp[pieces], axis=0)
+    return alpha if keep else alpha[length - base]
+
+
+def _expected_of_long(vocab: Vocabulary, logp: np.ndarray, spelled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces, expected uses) of one long word; memory is two numbers for each of its bytes."""
+    alpha = _forward(vocab, logp, spelled, keep=True)
+    beta = np.full(len(alpha), -np.inf)
+    beta[-1] = 0.0
+    uses = np.zeros(vocab.size)
+    for low in range((len(spelled) - 1) // LONGEST_WORD * LONGEST_WORD, -1, -LONGEST_WORD):
+        high = min(low + LONGEST_WORD, len(spelled))
+        arcs = _arcs_to(vocab, spelled, low, high)
+        for end in range(high, low, -1):
+            starts, pieces = arcs[end - low - 1]
+            step = logp[pieces] + beta[end]
+            beta[starts] = np.logaddexp(beta[starts], step)
+            uses[pieces] += np.exp(alpha[starts] + step - alpha[-1])
+    met = np.flatnonzero(uses)
+    return met, uses[met]
 
 
 def _arcs(vocab: Vocabulary, spelled: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -121,7 +177,9 @@ def log_marginals(vocab: Vocabulary, logp: np.ndarray, words: Words, which: np.n
         alpha[0] = 0.0
         for start, end, rows, pieces in _arcs(vocab, spelled):
             alpha[end, rows] = np.logaddexp(alpha[end, rows], alpha[start, rows] + logp[pieces])
-        out[places] += alpha[-1]
+        out[places] = alpha[-1]
+    for k, spelled in _long_words(words, which):
+        out[k] = _forward(vocab, logp, spelled, keep=False)
     return out
 
 
@@ -142,6 +200,9 @@ def expected_counts(vocab: Vocabulary, logp: np.ndarray, words: Words, which: np
             used = np.exp(alpha[start, rows] + step - alpha[length, rows])
             for k in range(weights.shape[1]):
                 counts[:, k] += np.bincount(pieces, weights=used * weights[places[rows], k], minlength=vocab.size)
+    for k, spelled in _long_words(words, which):
+        pieces, used = _expected_of_long(vocab, logp, spelled)
+        counts[pieces] += used[:, None] * weights[k]
     return counts
 
 

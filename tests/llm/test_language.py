@@ -88,3 +88,50 @@ def test_edges(spark, model, rows):
     got = out.collect()
     assert len(got) == len(rows)
     assert all(r.lang_pred == "und" and r.score == 0 for r in got if r.text != "ab")
+
+
+@pytest.mark.parametrize("text", ["x" * 1000 + "the" * 200, "übergrößenträger" * 70, "例えば日本語の長い文" * 50, "a" * 193, "a" * 192])
+def test_long_words_against_plain_recursion(model, text):
+    vocab = vocabulary(model)
+    draw = np.random.default_rng(3)
+    table = np.stack([vocab.prior, vocab.prior + draw.normal(size=vocab.size) * 0.3], axis=1)
+    words = words_of("the " + text)
+    spelled = b" " + text.encode()
+    flat = np.frombuffer(spelled, dtype=np.uint8)
+    spans = [(s, e) for e in range(1, len(spelled) + 1) for s in range(max(0, e - vocab.longest), e)]
+    found = vocab.find(hash_spans(flat, np.array([s for s, _ in spans]), np.array([e for _, e in spans])))
+    arcs = {}
+    for (s, e), piece in zip(spans, found.tolist()):
+        if e - s == 1:
+            piece = vocab.size - 256 + spelled[s]
+        if piece >= 0:
+            arcs.setdefault(e, []).append((s, piece))
+    for k in range(2):
+        logp = table[:, k]
+        alpha = [0.0]
+        for e in range(1, len(spelled) + 1):
+            alpha.append(np.logaddexp.reduce([alpha[s] + logp[p] for s, p in arcs[e]]))
+        assert log_marginals(vocab, table, words, np.array([1]))[0, k] == pytest.approx(alpha[-1], abs=1e-8)
+    beta = [-np.inf] * len(spelled) + [0.0]
+    uses = np.zeros(vocab.size)
+    for e in range(len(spelled), 0, -1):
+        for s, p in arcs[e]:
+            beta[s] = np.logaddexp(beta[s], logp[p] + beta[e])
+            uses[p] += np.exp(alpha[s] + logp[p] + beta[e] - alpha[-1])
+    got = expected_counts(vocab, logp, words, np.array([1]), np.array([[2.0, 0.5]]))
+    assert np.allclose(got, uses[:, None] * [2.0, 0.5], atol=1e-8)
+    # The pieces used cover the word.
+    assert uses @ _piece_bytes(vocab, model) == pytest.approx(len(spelled))
+
+
+def _piece_bytes(vocab, model):
+    """Length in bytes of every piece of the vocabulary, found by the hashes of the model's own pieces."""
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    out = np.ones(vocab.size)
+    for p in proto.ModelProto.FromString(model).pieces:
+        raw = p.piece.replace("▁", " ").encode()
+        at = vocab.find(hash_spans(np.frombuffer(raw, dtype=np.uint8), np.array([0]), np.array([len(raw)])))[0] if len(raw) > 1 else -1
+        if at >= 0:
+            out[at] = len(raw)
+    return out
