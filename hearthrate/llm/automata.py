@@ -18,11 +18,11 @@ UNSEEN = 0.05
 
 
 class Automaton:
-    def __init__(self, strings: list[str], alpha: float = 0.05, longest: int = 48):
+    def __init__(self, strings: list[str], alpha: float = 0.05):
         self.visits, self.stops, self.steps = [0], [0], [{}]
         for s in strings:
             state = 0
-            for c in s[:longest]:
+            for c in s:
                 self.visits[state] += 1
                 if c not in self.steps[state]:
                     self.steps[state][c] = len(self.visits)
