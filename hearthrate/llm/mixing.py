@@ -15,14 +15,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from hearthrate.llm.batches import append, with_names
 from hearthrate.llm.scratch import Scratch
 from hearthrate.llm.words import Words, passes
 
 BITS = 18
-# Labelled documents the classifier is fitted on: those of smallest hash.
+# Labelled documents the classifier is fitted on, in equal parts from all domains: those of smallest hash.
 LABELLED = 4000
 # A word is a feature if it is in so many of them and tells some domain apart.
 LEAST_HELD = 8
@@ -57,7 +57,14 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_domains(docs: DataFrame, labels: DataFrame, key: str, text: str, sample: int = LABELLED) -> DomainModel:
-    """Softmax regression on at most ``sample`` labelled documents (``key``, ``domain``)."""
+    """Softmax regression on labelled documents (``key``, ``domain``).
+
+    Every domain of a labelled document with a text is a domain of the model,
+    however rare. Each gives ``sample`` divided by the number of domains (one
+    at least) documents of smallest hash to the fit; the shares of all labelled
+    documents then replace those of the draw. A posterior has a value for each
+    domain, so their names and counts are gathered.
+    """
     chosen = labels.where(F.col(key).isNotNull() & F.col("domain").isNotNull()).groupBy(key).agg(F.min("domain").alias("domain"))
     rows = docs.select(key, F.col(text).alias("text")).where("text is not null")
 
@@ -70,17 +77,23 @@ def fit_domains(docs: DataFrame, labels: DataFrame, key: str, text: str, sample:
                     [batch.column("domain").slice(words.at, len(words)), pa.ListArray.from_arrays(cuts, pa.array(bucket.astype(np.int32)))], names=["domain", "buckets"])
 
     # The sample is drawn on keys; its few rows are sent to the texts, which do not move.
-    drawn = chosen.join(rows.select(key), key, "left_semi").orderBy(F.xxhash64(key), key).limit(sample)
-    found = rows.join(F.broadcast(drawn), key).select("domain", "text").mapInArrow(run, "domain string, buckets array<int>").toArrow()
-    names = sorted(set(found.column("domain").to_pylist()))
-    if not names:
+    scratch = Scratch(docs.sparkSession, "domains")
+    held = scratch.store(chosen.join(rows.select(key), key, "left_semi"))
+    counts = {r.domain: r.n for r in held.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
         return DomainModel(["all"], np.zeros((1 << BITS, 1)), np.zeros(1))
+    names = sorted(counts)
+    place = Window.partitionBy("domain").orderBy(F.xxhash64(key), key)
+    drawn = held.withColumn("place", F.row_number().over(place)).where(F.col("place") <= max(sample // len(names), 1)).select(key, "domain")
+    found = rows.join(F.broadcast(drawn), key).select("domain", "text").mapInArrow(run, "domain string, buckets array<int>").toArrow()
     code = {n: i for i, n in enumerate(names)}
     y = np.array([code[d] for d in found.column("domain").to_pylist()])
     lists = found.column("buckets").combine_chunks()
     row, bucket = np.repeat(np.arange(len(y)), np.diff(lists.offsets.to_numpy())), lists.values.to_numpy()
     telling = _telling(row, bucket, y, len(names))[bucket]
-    return DomainModel(names, *_softmax(row[telling], bucket[telling], y, len(names)))
+    weights, bias = _softmax(row[telling], bucket[telling], y, len(names))
+    every = np.array([counts[n] for n in names]) / sum(counts.values())
+    return DomainModel(names, weights, bias + np.log(every) - np.log(np.bincount(y, minlength=len(names)) / len(y)))
 
 
 def _telling(row: np.ndarray, bucket: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:

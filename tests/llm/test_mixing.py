@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hearthrate.llm.mixing import Mix, fit_rates, mix_sources, take_by_rate, target_totals
+from hearthrate.llm.mixing import Mix, add_posteriors, fit_domains, fit_rates, mix_sources, take_by_rate, target_totals
 
 MEMBERS = "tokens long, posteriors array<double>"
 
@@ -67,6 +67,37 @@ def test_posteriors_on_documents_without_label(spark):
     assert np.mean([(i in kept) == (d == "clean") for i, _, d in rows]) > 0.97
 
 
+def test_a_rare_domain_keeps_its_place(spark):
+    """One document of 3,000 is of the rare domain, and the draw of 60 of all would miss it."""
+    draw = random.Random(9)
+    words = [f"w{i}" for i in range(80)]
+    rows = [(i, " ".join(draw.choices(words, k=40)) + (" vile" * 3 if i % 3 == 0 else "")) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "rare" if i == 1717 else "bad" if i % 3 == 0 else "clean") for i in range(3000)], "doc_id long, domain string")
+    model = fit_domains(docs, labels, "doc_id", "text", sample=60)
+    assert model.names == ["bad", "clean", "rare"]
+    # A text without a telling word has the shares of all labels, not those of the draw.
+    p = np.exp(model.bias - model.bias.max())
+    assert (p / p.sum())[2] < 0.01
+    rated = add_posteriors(docs, model, "text").collect()
+    assert np.mean([(r.posteriors[0] > 0.5) == (r.doc_id % 3 == 0) for r in rated]) > 0.97
+
+
+@pytest.mark.parametrize("wanted", [[0.2, 0.5, 0.3], [0.6, 0.0, 0.4]])
+def test_rates_against_an_independent_solver(spark, wanted):
+    """The least-squares error of the totals, against plain projected gradient on the rates themselves."""
+    draw = np.random.default_rng(4)
+    tokens, p = draw.integers(1, 300, 80).astype(float), draw.dirichlet([0.3] * 3, 80)
+    mix = fit_rates(spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p)], MEMBERS), ["a", "b", "c"], weights=dict(zip("abc", wanted)))
+    held = tokens[:, None] * p
+    scale = np.linalg.norm(held, 2) ** 2
+    rates = np.ones(80)
+    for _ in range(20000):
+        rates = np.maximum(0, rates - held @ (held.T @ rates - mix.targets) / scale)
+    least = np.abs(held.T @ rates - mix.targets).max()
+    assert np.abs(mix.reached - mix.targets).max() <= least + (1e-3 if min(wanted) else 0.1) * held.sum()
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None), (1, ""), (1, "a b"), (1, "a b"), (2, "x " * 50000)]])
 @pytest.mark.parametrize("labels", [[], [(1, "p"), (1, "o"), (None, "p"), (2, None), (7, "p")]])
 def test_edges(docs_of, spark, rows, labels):
