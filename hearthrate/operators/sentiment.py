@@ -1,8 +1,9 @@
 """Lexicon sentiment of short texts (after Hutto and Gilbert, 2014) as joins and aggregates.
 
 The lexicon is a table (word, valence) the caller supplies. Rules kept: negation
-and degree words among the three words before, emphasis by capitals and by ! and
-?, and the turn at "but". Idioms and emoticon spellings are not covered.
+and degree words among the three words before, phrases of them ("never so",
+"without doubt", "least", "kind of"), emphasis by capitals and by ! and ?, and
+the turn at "but". Idioms and emoticon spellings are not covered.
 """
 
 from __future__ import annotations
@@ -44,6 +45,10 @@ NEGATORS = (
     "werent", "oughtn't", "shan't", "shouldn't", "wasn't", "weren't", "without", "wont", "wouldnt", "won't",
     "wouldn't", "rarely", "seldom", "despite",
 )
+# Phrases. "never so" and "never this" strengthen; two words that weaken whatever their sign.
+NEVER_SO, NEVER_SO_FACTOR = ("so", "this"), 1.25
+WEAKENING_PAIRS = ("kind of", "sort of", "just enough")
+NOT_LEAST_AFTER = ("at", "very")
 # A lexicon of up to this many words, a few megabytes, is broadcast.
 LEXICON_ROWS = 100_000
 # Marks at the start or end of a word.
@@ -77,7 +82,7 @@ def score_sentiment(texts: DataFrame, keys: Sequence[str], text: str, lexicon: D
     one partition and are summed there before the one shuffle by ``keys``.
     """
     lexicon = lexicon.select(F.lower("word").alias("_low"), F.col("valence").cast("double").alias("_valence"))
-    rule_words = (*STRENGTHENERS, *WEAKENERS, *NEGATORS)
+    rule_words = (*STRENGTHENERS, *WEAKENERS, *NEGATORS, "least")
     # A word the lexicon scores does not also modify others; at most one row per rule word.
     scored_rules = {row["_low"] for row in lexicon.where(F.col("_low").isin(*rule_words)).distinct().collect()}
 
@@ -94,18 +99,32 @@ def score_sentiment(texts: DataFrame, keys: Sequence[str], text: str, lexicon: D
     # the word list, so every text also yields a row without a word.
     gap = F.lit(None).cast("string")
     shifted = [F.concat(F.array(*[gap] * back), F.col("_words")).alias(f"_raw{back}") for back in (1, 2, 3)]
-    zipped = prepared.select(*keys, "_emphasis", "_mixed", "_but", "_words", *shifted).select(
+    after = F.slice("_words", F.lit(2), F.greatest(F.size("_words"), F.lit(1))).alias("_after")
+    zipped = prepared.select(*keys, "_emphasis", "_mixed", "_but", "_words", *shifted, after).select(
         *keys, "_emphasis", "_mixed", "_but",
-        F.posexplode(F.arrays_zip("_words", "_raw1", "_raw2", "_raw3")).alias("_at", "_w"),
+        F.posexplode(F.arrays_zip("_words", "_raw1", "_raw2", "_raw3", "_after")).alias("_at", "_w"),
     )
     near = zipped.select(
         *keys, "_emphasis", "_mixed", "_but", (F.col("_at") + 1).alias("_index"),
         F.col("_w._words").alias("_word"), F.lower("_w._words").alias("_low"),
-        "_w._raw1", "_w._raw2", "_w._raw3",
+        "_w._raw1", "_w._raw2", "_w._raw3", F.lower("_w._raw3").alias("_third"),
+        (F.lower("_w._words").eqNullSafe("kind") & F.lower("_w._after").eqNullSafe("of")).alias("_kind_of"),
     )
-    matched = lookup_join(near, lexicon.dropDuplicates(["_low"]), ["_low"], max_rows=LEXICON_ROWS).where(
-        F.col("_valence").isNotNull() | F.col("_word").isNull()
+    words = lexicon.dropDuplicates(["_low"])
+    matched = lookup_join(near, words, ["_low"], max_rows=LEXICON_ROWS).where(
+        (F.col("_valence").isNotNull() & ~F.col("_kind_of")) | F.col("_word").isNull()
     )
+    # The phrases of three words look at a third word that has no score of its own.
+    third = words.select(F.col("_low").alias("_third"), F.lit(False).alias("_unscored"))
+    matched = lookup_join(matched, third, ["_third"], max_rows=LEXICON_ROWS)
+    plain_third = F.col("_third").isNotNull() & F.coalesce("_unscored", F.lit(True))
+    one, two, three = (F.coalesce(F.lower(f"_raw{back}"), F.lit("")) for back in (1, 2, 3))
+    strengthened = {
+        2: (two.isin(usable(["never"]))) & one.isin(*NEVER_SO),
+        # As published, "so" or "this" right before the word is enough here.
+        3: plain_third & (((three == "never") & two.isin(*NEVER_SO)) | one.isin(*NEVER_SO)),
+    }
+    certain = {2: (two == "without") & (one == "doubt"), 3: (three == "without") & ((two == "doubt") | (one == "doubt"))}
 
     sign = F.when(F.col("_valence") > 0, 1.0).otherwise(-1.0)
     loud = F.col("_mixed") & _shouted(F.col("_word"))
@@ -120,8 +139,15 @@ def score_sentiment(texts: DataFrame, keys: Sequence[str], text: str, lexicon: D
         )
         shout = F.when(F.col("_mixed") & _shouted(raw), F.when(score > 0, CAPITALS_STEP).otherwise(-CAPITALS_STEP))
         degree = F.coalesce((step * direction + F.coalesce(shout, F.lit(0.0))) * F.lit(damping), F.lit(0.0))
-        turn = F.when(before.isin(usable(NEGATORS)), NEGATION_FACTOR).otherwise(1.0)
+        negated = F.coalesce(before.isin(usable(NEGATORS)) | before.contains("n't"), F.lit(False))
+        turn = F.when(negated, NEGATION_FACTOR).otherwise(1.0)
+        if back in strengthened:
+            turn = F.when(strengthened[back], NEVER_SO_FACTOR).when(certain[back], 1.0).otherwise(turn)
         scored = scored.withColumn("_score", (score + degree) * turn)
+    pairs = (F.concat_ws(" ", three, two), F.concat_ws(" ", two, one))
+    weakened = sum((F.when(plain_third & p.isin(*WEAKENING_PAIRS), -DEGREE_STEP).otherwise(0.0) for p in pairs), F.lit(0.0))
+    least = (one == "least") & ~two.isin(*NOT_LEAST_AFTER) if "least" not in scored_rules else F.lit(False)
+    scored = scored.withColumn("_score", (F.col("_score") + weakened) * F.when(least, NEGATION_FACTOR).otherwise(1.0))
     but = (
         F.when((F.col("_but") > 0) & (F.col("_index") < F.col("_but")), BEFORE_BUT)
         .when((F.col("_but") > 0) & (F.col("_index") > F.col("_but")), AFTER_BUT)

@@ -178,25 +178,40 @@ def _in(words) -> str:
     return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
 
 
-SENTIMENT_CTES = f"""
-lex(word, valence) AS (VALUES {", ".join(f"('{w}', {v}::DOUBLE)" for w, v in LEXICON)}),
+PHRASE_CASES = {
+    1: "",
+    2: "WHEN two = 'never' AND one IN ('so', 'this') THEN 1.25 WHEN two = 'without' AND one = 'doubt' THEN 1.0",
+    3: """WHEN plain AND ((three = 'never' AND two IN ('so', 'this')) OR one IN ('so', 'this')) THEN 1.25
+      WHEN three = 'without' AND (two = 'doubt' OR one = 'doubt') THEN 1.0""",
+}
+
+
+def sentiment_ctes(lexicon_rows) -> str:
+    values = ", ".join(f"('{w}', {v}::DOUBLE)" for w, v in lexicon_rows)
+    return f"""
+lex(word, valence) AS (VALUES {values}),
 w0 AS (SELECT id, text, unnest(string_split_regex(text, '[ \\t\\n\\f\\r\\v]+')) AS raw,
               generate_subscripts(string_split_regex(text, '[ \\t\\n\\f\\r\\v]+'), 1) AS pos FROM texts),
 w1 AS (SELECT id, text, pos, regexp_replace(regexp_replace(raw, '^[!-/:-@\\[-`{{-~]+', ''), '[!-/:-@\\[-`{{-~]+$', '') AS word FROM w0),
 w2 AS (SELECT id, word, row_number() OVER (PARTITION BY id ORDER BY pos) AS i FROM w1 WHERE length(word) > 1),
 w3 AS (SELECT *, lower(word) AS low, (upper(word) = word AND lower(word) <> word) AS shout,
-    lag(word, 1) OVER o AS r1, lag(word, 2) OVER o AS r2, lag(word, 3) OVER o AS r3
+    lag(word, 1) OVER o AS r1, lag(word, 2) OVER o AS r2, lag(word, 3) OVER o AS r3,
+    lower(lag(word, 1) OVER o) AS one, lower(lag(word, 2) OVER o) AS two, lower(lag(word, 3) OVER o) AS three, lower(lead(word) OVER o) AS after
   FROM w2 WINDOW o AS (PARTITION BY id ORDER BY i)),
 per_text AS (SELECT id, bool_or(shout) AND NOT bool_and(shout) AS mixed, min(CASE WHEN low = 'but' THEN i END) AS but FROM w3 GROUP BY id),
-s0 AS (SELECT w3.*, mixed, but, valence + CASE WHEN mixed AND shout THEN CASE WHEN valence > 0 THEN 0.733 ELSE -0.733 END ELSE 0.0 END AS s
-  FROM w3 JOIN lex ON lex.word = w3.low JOIN per_text USING (id)),
+s0 AS (SELECT w3.*, mixed, but, valence + CASE WHEN mixed AND shout THEN CASE WHEN valence > 0 THEN 0.733 ELSE -0.733 END ELSE 0.0 END AS s,
+    three IS NOT NULL AND three NOT IN (SELECT word FROM lex) AS plain
+  FROM w3 JOIN lex ON lex.word = w3.low JOIN per_text USING (id) WHERE NOT (low = 'kind' AND coalesce(after, '') = 'of')),
 """ + "".join(f"""
 s{d} AS (SELECT * EXCLUDE (s), (s + coalesce(((CASE WHEN lower(r{d}) IN {_in(STRENGTHENERS)} THEN 0.293
     WHEN lower(r{d}) IN {_in(WEAKENERS)} THEN -0.293 END) * (CASE WHEN s < 0 THEN -1.0 ELSE 1.0 END)
     + CASE WHEN mixed AND upper(r{d}) = r{d} AND lower(r{d}) <> r{d} THEN CASE WHEN s > 0 THEN 0.733 ELSE -0.733 END ELSE 0.0 END) * {damping}, 0.0))
-    * CASE WHEN lower(r{d}) IN {_in(NEGATORS)} THEN -0.74 ELSE 1.0 END AS s FROM s{d - 1}),
+    * CASE {PHRASE_CASES[d]} WHEN lower(r{d}) IN {_in(NEGATORS)} OR contains(lower(r{d}), 'n''t') THEN -0.74 ELSE 1.0 END AS s FROM s{d - 1}),
 """ for d, damping in ((1, 1.0), (2, 0.95), (3, 0.9))) + """
-sums AS (SELECT id, sum(s * CASE WHEN but IS NULL OR i = but THEN 1.0 WHEN i < but THEN 0.5 ELSE 1.5 END) AS s FROM s3 GROUP BY id),
+s4 AS (SELECT * EXCLUDE (s), (s - CASE WHEN plain AND concat(three, ' ', two) IN ('kind of', 'sort of', 'just enough') THEN 0.293 ELSE 0.0 END
+      - CASE WHEN plain AND concat(two, ' ', one) IN ('kind of', 'sort of', 'just enough') THEN 0.293 ELSE 0.0 END)
+    * CASE WHEN one = 'least' AND coalesce(two, '') NOT IN ('at', 'very') THEN -0.74 ELSE 1.0 END AS s FROM s3),
+sums AS (SELECT id, sum(s * CASE WHEN but IS NULL OR i = but THEN 1.0 WHEN i < but THEN 0.5 ELSE 1.5 END) AS s FROM s4 GROUP BY id),
 marks AS (SELECT id, length(text) - length(replace(text, '!', '')) AS bangs, length(text) - length(replace(text, '?', '')) AS asks FROM texts),
 loud AS (SELECT marks.id, coalesce(s, 0.0) AS s, least(bangs, 4) * 0.292
     + CASE WHEN asks <= 1 THEN 0.0 WHEN asks <= 3 THEN asks * 0.18 ELSE 0.96 END AS e FROM marks LEFT JOIN sums USING (id)),
@@ -205,6 +220,9 @@ compound AS (SELECT id, round(s / sqrt(s * s + 15.0), 4) AS compound FROM raised
 """
 
 
+SENTIMENT_CTES = sentiment_ctes(LEXICON)
+
+
 @query("sentiment_scores", "T1 T2", """
 WITH texts AS (SELECT doc_id AS id, text FROM documents),""" + SENTIMENT_CTES + """
 SELECT doc_id, compound,
@@ -221,6 +239,22 @@ def sentiment_scores(spark: SparkSession, sf: str) -> DataFrame:
     return score_sentiment(docs, ["doc_id", "praise", "complaint"], "text", lexicon(spark))
 
 
+# Reviews written from the columns of orders: seven words of this list each, so that every phrase of the rules occurs.
+REVIEW_WORDS = ("never", "so", "this", "without", "doubt", "least", "at", "very", "kind", "of", "sort", "just", "enough", "couldn't", "stay", "GREAT", "bad", "clean", "but")
+REVIEW_LEXICON = (("great", 3.1), ("bad", -2.5), ("clean", 1.7), ("kind", 2.4))
+_PICKS = (3, 5, 7, 11, 13, 17, 23)
+
+
+@query("phrase_sentiment", "T1", "WITH texts AS (SELECT o_orderkey AS id, concat_ws(' ', " + ", ".join(
+    f"([{', '.join(chr(39) + w.replace(chr(39), chr(39) * 2) + chr(39) for w in REVIEW_WORDS)}])[(o_orderkey * {m} + o_custkey // {m}) % {len(REVIEW_WORDS)} + 1]" for m in _PICKS
+) + ") AS text FROM orders)," + sentiment_ctes(REVIEW_LEXICON) + "SELECT id AS o_orderkey, compound FROM compound")
+def phrase_sentiment(spark: SparkSession, sf: str) -> DataFrame:
+    words = F.array(*[F.lit(w) for w in REVIEW_WORDS])
+    picked = [F.get(words, ((F.col("o_orderkey") * m + F.floor(F.col("o_custkey") / m)) % len(REVIEW_WORDS)).cast("int")) for m in _PICKS]
+    reviews = table(spark, sf, "orders").select("o_orderkey", F.concat_ws(" ", *picked).alias("text"))
+    return score_sentiment(reviews, ["o_orderkey"], "text", spark.createDataFrame(REVIEW_LEXICON, "word string, valence double"))
+
+
 @query("listing_activity", "F5 F6 F7 F8 F9 F10", """
 SELECT l_orderkey, l_linenumber, round(l_suppkey % 366 / 365.0, 9) AS availability_rate, coalesce(l_linenumber > 3, false)::INTEGER AS reviews_active,
        date_diff('day', l_shipdate::DATE, DATE '1999-01-01')::INTEGER AS days_since_last_review, round((l_tax * 10 + l_discount * 10) / 2, 9) AS review_score_avg,
