@@ -139,3 +139,15 @@ def test_local_trend_follows_a_line(spark):
     data = pd.DataFrame({"x": x, "y": 4 - 2 * x})
     points = residuals.local_trend(spark.createDataFrame(data), "x", "y", points=11).toPandas()
     assert points["trend"].to_numpy() == pytest.approx((4 - 2 * points["x0"]).to_numpy(), abs=1e-6)
+
+
+def test_bins_are_sliced_as_their_values_call_for(spark, monkeypatch):
+    """Slices of seven values, ties, a heavy tail and a bin of one value give the totals of a plain running sum."""
+    monkeypatch.setattr("hearthrate.operators.cumulative.SLICE_VALUES", 7)
+    rows = [(g, float(v * v if v % 50 else 10**12 + v), v % 4 + 1) for g in "ab" for v in range(600)]
+    counts = spark.createDataFrame(rows, "g string, v double, n long")
+    cuts = counts.groupBy("g").agg(F.array(*[F.lit(float(c)) for c in range(0, 224 * 500, 500)]).alias("cuts"))
+    got = running_totals(counts, "v", ["n"], ["g"], cuts).toPandas().sort_values(["g", "v"]).reset_index(drop=True)
+    assert len(got) == len(rows)
+    for _, part in got.groupby("g"):
+        assert (part["n_before"] == part["n"].cumsum() - part["n"]).all()
