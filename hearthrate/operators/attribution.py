@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hearthrate.functions.nulls import ratio
 from hearthrate.functions.pricing import CAPPED_CLIP, price_from_log
-from hearthrate.session import scratch_path
+from hearthrate.operators.tree_bins import add_bins, join_bins, saved_nodes
 
 # Seeds compared for stability and the rank spread called stable.
 STABILITY_SEEDS = (42, 7, 123, 2024, 999)
@@ -81,10 +81,8 @@ def ensemble_leaves(model, spark) -> list[LeafPath]:
     """
     if model.totalNumNodes > MOST_NODES:
         raise ValueError(f"attributions of {model.totalNumNodes} nodes; at most {MOST_NODES} can be sent to the tasks")
-    path = scratch_path(spark, "trees")
-    model.write().save(path)
     trees: dict[int, dict[int, dict]] = {}
-    for row in spark.read.parquet(f"{path}/data").collect():
+    for row in saved_nodes(model, spark).collect():
         node = row["nodeData"]
         split = node["split"]
         trees.setdefault(row["treeID"], {})[node["id"]] = {
@@ -157,12 +155,7 @@ def tree_attribution(df: DataFrame, key: str, features: Sequence[str], model) ->
     edges = bin_edges(leaves, len(features))
     shared = spark.sparkContext.broadcast((leaves, edges))
     bins = [f"_bin{i}" for i in range(len(features))]
-    # The number of thresholds below a value; a missing value lies above all, as in the trees.
-    def bin_of(name: str, cuts: list[float]) -> Column:
-        value = F.col(name).cast("double")
-        return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda t: ~F.coalesce(value <= t, F.lit(False)))) if cuts else F.lit(0)
-
-    binned = df.select(key, *[bin_of(c, e).alias(b) for c, b, e in zip(features, bins, edges)])
+    binned = add_bins(df, [F.col(c).cast("double") for c in features], edges, bins).select(key, *bins)
 
     def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         paths, cuts = shared.value
@@ -175,7 +168,7 @@ def tree_attribution(df: DataFrame, key: str, features: Sequence[str], model) ->
 
     signatures = binned.select(bins).distinct()
     phi = signatures.mapInPandas(attribute, ", ".join(f"{b} int" for b in bins) + ", phi array<double>")
-    return binned.join(phi, bins).select(key, F.lit(base).alias("base"), "phi")
+    return join_bins(binned, phi, bins, edges).select(key, F.lit(base).alias("base"), "phi")
 
 
 def attribution_long(attributed: DataFrame, key: str, features: Sequence[str]) -> DataFrame:

@@ -60,8 +60,8 @@ def add_bins(df: DataFrame, values: Sequence[Column], edges: Sequence[Sequence[f
     )
     known = df.withColumns({f"{n}_value": F.coalesce(F.nanvl(v, F.lit(math.inf)), F.lit(math.inf)) for v, _, n in cut})
     placed = buckets.transform(known) if cut else known
-    bins = [F.col(f"{n}_bucket").cast("int") if e else F.lit(0) for e, n in zip(edges, names)]
-    return placed.select(*df.columns, *[b.alias(n) for b, n in zip(bins, names)])
+    bins = {n: F.col(f"{n}_bucket").cast("int") if e else F.lit(0) for e, n in zip(edges, names)}
+    return placed.withColumns(bins).drop(*[f"{n}_{part}" for _, _, n in cut for part in ("value", "bucket")])
 
 
 def bin_values(names: Sequence[str], edges: Sequence[Sequence[float]]) -> list[Column]:
@@ -86,4 +86,4 @@ def predict_by_bins(model: Model, df: DataFrame) -> DataFrame:
     binned = add_bins(numbers, [F.col("_numbers")[i] for i in range(len(edges))], edges, names)
     distinct = binned.select(names).distinct().withColumn(vector, array_to_vector(F.array(*bin_values(names, edges))))
     predicted = model.transform(distinct).select(*names, out)
-    return join_bins(binned, predicted, names, edges).select(*df.columns, out)
+    return join_bins(binned, predicted, names, edges).drop(*names, "_numbers")

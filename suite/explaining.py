@@ -95,14 +95,15 @@ def tree_attribution(spark: SparkSession, sf: str) -> DataFrame:
 def importance_stability(spark: SparkSession, sf: str) -> DataFrame:
     """The models of all seeds are fitted on one draw of rows; every row is attributed under each."""
     allow_checkpoints(spark)
-    rows = vectors(spark, sf, FEATURES).persist()
-    drawn = draw_rows(rows, "id").persist()
+    # Nothing of the rows is kept between the passes, which read the four features alone.
+    rows = line_table(spark, sf).select("id", *FEATURES)
+    drawn = draw_rows(vectors(spark, sf, FEATURES).select("id", "label", "features"), "id").persist()
     parts = []
     for seed in A.STABILITY_SEEDS:
         model = fit_on_draw(boosted().setSeed(seed), drawn, "id")
         summary = A.attribution_summary(A.tree_attribution(rows, "id", FEATURES, model), FEATURES)
         parts.append(summary.select(F.lit(seed).alias("seed"), "feature", "mean_abs"))
-    return settle(A.importance_stability(reduce(DataFrame.unionByName, parts)), rows, drawn)
+    return settle(A.importance_stability(reduce(DataFrame.unionByName, parts)), drawn)
 
 
 @query("importance_ranks", "G12 W5 U3 U4", """

@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 
-from hearthrate.operators import models
+from hearthrate.operators import attribution, models, tree_bins
 from hearthrate.operators.design import assemble_vector
 from hearthrate.operators.tree_bins import add_bins, predict_by_bins, thresholds
 
@@ -83,3 +83,35 @@ def test_bins_count_the_thresholds_below(spark):
     rows = spark.createDataFrame([(v,) for v in (-2.0, -1.0, -0.5, -0.0, 0.0, 1e-300, 2.5, 3.0, math.nan, None)], "v double")
     got = [(r.x, r.y) for r in add_bins(rows, [rows.v, rows.v], edges, ["x", "y"]).collect()]
     assert got == [(n, 0) for n in (0, 0, 1, 1, 1, 2, 2, 3, 3, 3)]
+
+
+def test_attributions_by_bins_are_those_of_each_row(spark, capsys, monkeypatch):
+    fit = real_rows(spark, 400).where("abs(a) < 10 and abs(b) < 10")
+    model = GBTRegressor(seed=1, maxIter=3, maxDepth=4, maxBins=6).fit(fit)
+    rows = real_rows(spark, 500, seed=8)
+    rows = rows.unionByName(rows.limit(20)).withColumn("id", models.F.when(models.F.col("id") != "3", models.F.col("id")))
+    predicted = sorted((str(r.id), r.prediction) for r in model.transform(rows).collect())
+
+    def checked():
+        got = attribution.tree_attribution(rows, "id", FEATURES, model)
+        assert got.columns == ["id", "base", "phi"]
+        totals = sorted((str(r.id), r.base + sum(r.phi)) for r in got.collect())
+        assert [k for k, _ in totals] == [k for k, _ in predicted]
+        assert [v for _, v in totals] == pytest.approx([v for _, v in predicted], abs=1e-9)
+        got.explain()
+        return capsys.readouterr().out
+
+    # A few bins hold many rows each: the rows stay where they are.
+    plan = checked()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    # More combinations than may be sent to every task: joined by a shuffle, as planned.
+    monkeypatch.setattr(tree_bins, "BROADCAST_BINS", 1)
+    assert "SortMergeJoin" in checked()
+
+
+def test_bins_of_attributions_are_compiled(spark, capsys):
+    """No loop over an array of thresholds for each row."""
+    fit = real_rows(spark, 400).where("abs(a) < 10 and abs(b) < 10")
+    model = GBTRegressor(seed=1, maxIter=3, maxDepth=4, maxBins=6).fit(fit)
+    attribution.tree_attribution(fit, "id", FEATURES, model).explain()
+    assert "lambda" not in capsys.readouterr().out
