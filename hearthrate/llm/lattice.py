@@ -2,9 +2,10 @@
 
 A word is spelled as a space and its bytes. Every piece that matches at a place
 is an arc of a lattice, and every single byte is one too, so a segmentation
-always exists. The forward recursion sums all paths in log space; with the
+always exists. The forward recursion sums all paths; with the
 backward recursion it gives the expected number of times each piece is used.
-Words are worked on together, by length.
+Words are worked on together, by length: on probabilities where even the path
+of single bytes is a plain double, and in log space where it may not be.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from hearthrate.llm.words import Words, hash_spans, split
+from hearthrate.llm.words import Words, hash_spans, hash_windows, split
 
 # Words of at most so many bytes are worked on together, by length; a longer one on its own, in steps of so many bytes.
 LONGEST_WORD = 192
@@ -25,6 +26,12 @@ BYTE_SHARE = 1e-3
 # Pseudo-counts of the vocabulary's own scores beside counted pieces.
 PRIOR_COUNT = 2_000.0
 _SLOT_BITS = 20
+# Bits of a hash that tell most strings that are no pieces.
+_SEEN_BITS = 19
+# Bytes of the words of one length that are worked on together.
+CELLS = 1 << 16
+# Probabilities down to this power of e are worked on as they are: well above the least normal double, e^-708.
+LEAST_LOG = -650.0
 
 
 @dataclass
@@ -35,6 +42,7 @@ class Vocabulary:
     tables: list[np.ndarray]
     longest: int
     prior: np.ndarray
+    seen: np.ndarray
 
     @property
     def size(self) -> int:
@@ -49,6 +57,17 @@ class Vocabulary:
             out[hit] = slot[hit]
         return out
 
+    def matches(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the hashes that are pieces, in order, and the pieces."""
+        maybe = np.flatnonzero(self.seen[_low_bits(h)])
+        pieces = self.find(h[maybe])
+        hit = pieces >= 0
+        return maybe[hit], pieces[hit]
+
+
+def _low_bits(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64((1 << _SEEN_BITS) - 1)).view(np.int64)
+
 
 def vocabulary(model: bytes) -> Vocabulary:
     """The normal pieces of a SentencePiece model; a space mark is a space."""
@@ -73,7 +92,9 @@ def vocabulary(model: bytes) -> Vocabulary:
         left = np.delete(left, first)
     weight = 1.0 / (np.arange(len(pieces)) + RANK_OFFSET)
     share = np.concatenate([weight / weight.sum() * (1 - BYTE_SHARE), np.full(256, BYTE_SHARE / 256)])
-    return Vocabulary(hashes, tables, max((len(p) for p, _ in pieces), default=1), np.log(share))
+    seen = np.zeros(1 << _SEEN_BITS, dtype=bool)
+    seen[_low_bits(hashes)] = True
+    return Vocabulary(hashes, tables, max((len(p) for p, _ in pieces), default=1), np.log(share), seen)
 
 
 def refined(vocab: Vocabulary, counts: np.ndarray) -> np.ndarray:
@@ -83,12 +104,15 @@ def refined(vocab: Vocabulary, counts: np.ndarray) -> np.ndarray:
 
 
 def _by_length(words: Words, which: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places in ``which``, their spelled bytes as a matrix), for each length up to ``LONGEST_WORD``."""
+    """(places in ``which``, their spelled bytes as a matrix), for each length up to ``LONGEST_WORD``, some words at a time."""
     starts, sizes = words.starts[which], words.ends[which] - words.starts[which]
     for size in np.unique(sizes[sizes <= LONGEST_WORD]):
-        chosen = np.flatnonzero(sizes == size)
-        body = words.data[starts[chosen][:, None] + np.arange(size)]
-        yield chosen, np.hstack([np.full((len(chosen), 1), 0x20, dtype=np.uint8), body])
+        every = np.flatnonzero(sizes == size)
+        step = CELLS // (int(size) + 1)
+        for low in range(0, len(every), step):
+            chosen = every[low:low + step]
+            body = words.data[starts[chosen][:, None] + np.arange(size)]
+            yield chosen, np.hstack([np.full((len(chosen), 1), 0x20, dtype=np.uint8), body])
 
 
 def _long_words(words: Words, which: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -150,56 +174,81 @@ def _expected_of_long(vocab: Vocabulary, logp: np.ndarray, spelled: np.ndarray)
     return met, uses[met]
 
 
-def _arcs(vocab: Vocabulary, spelled: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _arcs(vocab: Vocabulary, spelled: np.ndarray) -> Iterator[tuple[int, int, np.ndarray | slice, np.ndarray]]:
     """(from, to, rows, pieces) of all arcs, ordered by their end."""
     n, length = spelled.shape
-    flat = np.ascontiguousarray(spelled).ravel()
-    base = np.arange(n) * length
-    everyone = np.arange(n)
+    to: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(length + 1)]
+    for width, hashes in hash_windows(spelled, range(2, min(length, vocab.longest) + 1)):
+        at, pieces = vocab.matches(hashes.ravel())
+        bounds = np.searchsorted(at, np.arange(len(hashes) + 1) * n).tolist()
+        for start, (low, high) in enumerate(zip(bounds, bounds[1:])):
+            if low < high:
+                to[start + width].append((start, at[low:high] - start * n, pieces[low:high]))
     for end in range(1, length + 1):
-        yield end - 1, end, everyone, spelled[:, end - 1].astype(np.int32) + (vocab.size - 256)
-        widths = np.arange(2, min(end, vocab.longest) + 1)
-        if not len(widths):
-            continue
-        hashes = hash_spans(flat, (base[:, None] + end - widths).ravel(), np.repeat(base + end, len(widths)))
-        pieces = vocab.find(hashes).reshape(n, len(widths))
-        for k, width in enumerate(widths):
-            rows = np.flatnonzero(pieces[:, k] >= 0)
-            if len(rows):
-                yield end - int(width), end, rows, pieces[rows, k]
+        yield end - 1, end, slice(None), spelled[:, end - 1].astype(np.int32) + (vocab.size - 256)
+        for start, rows, pieces in to[end]:
+            yield start, end, rows, pieces
+
+
+def _plain(logp: np.ndarray, length: int) -> bool:
+    """Whether no sum over the segmentations of so many bytes can leave the normal doubles: the single bytes are one."""
+    return length * logp[-256:].min() > LEAST_LOG
 
 
 def log_marginals(vocab: Vocabulary, logp: np.ndarray, words: Words, which: np.ndarray) -> np.ndarray:
     """Log probability of the words at ``which`` under each column of ``logp``."""
     out = np.zeros((len(which), logp.shape[1]))
+    chance = np.exp(logp)
     for places, spelled in _by_length(words, which):
-        alpha = np.full((spelled.shape[1] + 1, len(places), logp.shape[1]), -np.inf)
-        alpha[0] = 0.0
+        plain = _plain(logp, spelled.shape[1])
+        alpha = np.full((spelled.shape[1] + 1, len(places), logp.shape[1]), 0.0 if plain else -np.inf)
+        alpha[0] = 1.0 if plain else 0.0
         for start, end, rows, pieces in _arcs(vocab, spelled):
-            alpha[end, rows] = np.logaddexp(alpha[end, rows], alpha[start, rows] + logp[pieces])
-        out[places] = alpha[-1]
+            if plain:
+                alpha[end][rows] += alpha[start][rows] * chance[pieces]
+            else:
+                alpha[end][rows] = np.logaddexp(alpha[end][rows], alpha[start][rows] + logp[pieces])
+        out[places] = np.log(alpha[-1]) if plain else alpha[-1]
     for k, spelled in _long_words(words, which):
         out[k] = _forward(vocab, logp, spelled, keep=False)
     return out
 
 
+def _uses(logp: np.ndarray, chance: np.ndarray, arcs: list, n: int, length: int) -> list[np.ndarray]:
+    """Expected uses of the last arc, the one before it and so on, by the forward and backward recursions."""
+    plain = _plain(logp, length)
+    alpha = np.full((length + 1, n), 0.0 if plain else -np.inf)
+    beta = alpha.copy()
+    alpha[0] = beta[length] = 1.0 if plain else 0.0
+    out = []
+    if plain:
+        for start, end, rows, pieces in arcs:
+            alpha[end][rows] += alpha[start][rows] * chance[pieces]
+        for start, end, rows, pieces in reversed(arcs):
+            step = chance[pieces] * beta[end][rows]
+            beta[start][rows] += step
+            out.append(alpha[start][rows] * step / alpha[length][rows])
+        return out
+    for start, end, rows, pieces in arcs:
+        alpha[end][rows] = np.logaddexp(alpha[end][rows], alpha[start][rows] + logp[pieces])
+    for start, end, rows, pieces in reversed(arcs):
+        step = logp[pieces] + beta[end][rows]
+        beta[start][rows] = np.logaddexp(beta[start][rows], step)
+        out.append(np.exp(alpha[start][rows] + step - alpha[length][rows]))
+    return out
+
+
 def expected_counts(vocab: Vocabulary, logp: np.ndarray, words: Words, which: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Expected uses of each piece under one model ``logp``, weighted by each class's column of ``weights``."""
     counts = np.zeros((vocab.size, weights.shape[1]))
+    chance = np.exp(logp)
     for places, spelled in _by_length(words, which):
-        n, length = spelled.shape
-        alpha = np.full((length + 1, n), -np.inf)
-        beta = np.full((length + 1, n), -np.inf)
-        alpha[0], beta[length] = 0.0, 0.0
         arcs = list(_arcs(vocab, spelled))
-        for start, end, rows, pieces in arcs:
-            alpha[end, rows] = np.logaddexp(alpha[end, rows], alpha[start, rows] + logp[pieces])
-        for start, end, rows, pieces in reversed(arcs):
-            step = logp[pieces] + beta[end, rows]
-            beta[start, rows] = np.logaddexp(beta[start, rows], step)
-            used = np.exp(alpha[start, rows] + step - alpha[length, rows])
-            for k in range(weights.shape[1]):
-                counts[:, k] += np.bincount(pieces, weights=used * weights[places[rows], k], minlength=vocab.size)
+        used = np.concatenate(_uses(logp, chance, arcs, *spelled.shape))
+        met = np.concatenate([pieces for _, _, _, pieces in reversed(arcs)])
+        word = np.concatenate([places[rows] for _, _, rows, _ in reversed(arcs)])
+        for k in range(weights.shape[1]):
+            counts[:, k] += np.bincount(met, weights=used * weights[word, k], minlength=vocab.size)
     for k, spelled in _long_words(words, which):
         pieces, used = _expected_of_long(vocab, logp, spelled)
         counts[pieces] += used[:, None] * weights[k]

@@ -82,6 +82,16 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _STEP)
 
 
+def hash_windows(rows: np.ndarray, widths: range) -> Iterator[tuple[int, np.ndarray]]:
+    """For each width the hashes, as of ``hash_spans``, of all runs of so many bytes in each row of a matrix: start by row."""
+    n, length = rows.shape
+    up, down = _powers(max(1 << 20, 1 << length.bit_length()))
+    sums = np.zeros((length + 1, n), dtype=np.uint64)
+    np.cumsum((rows.T.astype(np.uint64) + np.uint64(1)) * up[:length, None], axis=0, out=sums[1:])
+    for width in widths:
+        yield width, mix((sums[width:] - sums[:-width]) * down[:length + 1 - width, None] + np.array([width], dtype=np.uint64) * _STEP)
+
+
 def split(data: np.ndarray, offsets: np.ndarray, at: int = 0, lower: bool = False) -> Words:
     """Words of the texts that lie in ``data`` between consecutive ``offsets``."""
     if lower:

@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
+from hearthrate.llm import lattice
 from hearthrate.llm.language import identify
 from hearthrate.llm.lattice import Memory, Tally, expected_counts, log_marginals, vocabulary
 from hearthrate.llm.pieces import model_bytes
@@ -135,3 +136,43 @@ def _piece_bytes(vocab, model):
         if at >= 0:
             out[at] = len(raw)
     return out
+
+
+def test_plain_probabilities_agree_with_log_space(model, monkeypatch):
+    vocab = vocabulary(model)
+    rng = np.random.default_rng(3)
+    raw = b" ".join(bytes(rng.choice(list(b"aeinorst"), n).tolist()) for n in [1, 2, 5, 9, 9, 20, 50, 60, 120, 190, 250]) + " größe überall 東京".encode()
+    words = split(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]))
+    which, weights = np.arange(len(words.hashes)), rng.random((len(words.hashes), 2))
+    # The second model gives single bytes so little that even short words leave the range of a double.
+    rare = vocab.prior.copy()
+    rare[-256:] -= 200.0
+    logp = np.column_stack([vocab.prior, rare])
+    plain = [log_marginals(vocab, table, words, which) for table in (logp[:, :1], logp)], expected_counts(vocab, vocab.prior, words, which, weights)
+    monkeypatch.setattr(lattice, "LEAST_LOG", np.inf)
+    logs = [log_marginals(vocab, table, words, which) for table in (logp[:, :1], logp)], expected_counts(vocab, vocab.prior, words, which, weights)
+    for a, b in zip([*plain[0], plain[1]], [*logs[0], logs[1]]):
+        assert np.isfinite(a).all() and np.allclose(a, b, rtol=1e-11, atol=1e-12)
+
+
+def test_most_strings_are_told_from_pieces_without_the_tables(model, monkeypatch):
+    """All arcs are found, though the tables are asked for few of the strings and words are worked on some at a time."""
+    vocab = vocabulary(model)
+    rng = np.random.default_rng(4)
+    spelled = rng.choice(np.frombuffer(b"aeinorstlu", dtype=np.uint8), (300, 12))
+    spelled[:, 0] = 0x20
+    spans = [(r, s, e) for r in range(300) for s in range(13) for e in range(s + 2, 13) if e - s <= vocab.longest]
+    flat = np.ascontiguousarray(spelled).ravel()
+    pieces = vocab.find(hash_spans(flat, np.array([r * 12 + s for r, s, _ in spans]), np.array([r * 12 + e for r, _, e in spans])))
+    wanted = {(s, e, r, p) for (r, s, e), p in zip(spans, pieces.tolist()) if p >= 0}
+    asked, whole = [], lattice.Vocabulary.find
+    monkeypatch.setattr(lattice.Vocabulary, "find", lambda self, h: asked.append(len(h)) or whole(self, h))
+    got = {(s, e, r, p) for s, e, rows, ps in lattice._arcs(vocab, spelled) if not isinstance(rows, slice) for r, p in zip(rows.tolist(), ps.tolist())}
+    assert got == wanted and wanted
+    assert sum(asked) - len(wanted) < 0.1 * len(spans)
+    raw = b" ".join(bytes(row[1:].tolist()) for row in spelled)
+    words = split(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]))
+    at, weights = np.arange(len(words.hashes)), np.ones((len(words.hashes), 1))
+    together = expected_counts(vocab, vocab.prior, words, at, weights)
+    monkeypatch.setattr(lattice, "CELLS", 200)
+    assert np.allclose(expected_counts(vocab, vocab.prior, words, at, weights), together, rtol=1e-12)
