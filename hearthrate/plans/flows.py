@@ -13,7 +13,7 @@ from hearthrate.operators.clean import TARGET_DERIVED_COLUMNS, cap_price, clean_
 from hearthrate.operators.design import DesignMatrix, assemble_vector, standardise
 from hearthrate.operators.features import listing_features, text_features
 from hearthrate.operators.impute import NullPolicy
-from hearthrate.operators.models import FIT_ROWS, FOREST_ROWS, Trained, boosted, comparison_table, forest, linear, ridge, train_and_evaluate
+from hearthrate.operators.models import Trained, boosted, comparison_table, forest, linear, ridge, train_and_evaluate
 from hearthrate.operators.panel import attach_panel_features, panel_features, price_lookup
 from hearthrate.operators.quality import gate_from_measures, gate_measures
 from hearthrate.operators.recency import attach_review_features, review_features
@@ -98,7 +98,7 @@ def training_set(features: DataFrame, key: str = "id", cap: float | None = PRICE
 
 
 def compare_models(data: TrainingSet, cross_validated: bool = True, tree_settings: dict | None = None, key: str = "id") -> tuple[list[Trained], DataFrame]:
-    """Linear, ridge, forest and boosted models side by side, best test MAE first; trees are fitted on a bounded draw by ``key``."""
+    """Linear, ridge, forest and boosted models side by side, best test MAE first, each fitted on all training rows."""
     settings = tree_settings or {}
     fold = "fold" if cross_validated else None
 
@@ -112,9 +112,8 @@ def compare_models(data: TrainingSet, cross_validated: bool = True, tree_setting
         "forest": lambda _: forest(**settings.get("forest", {})),
         "boosted": lambda _: boosted(**settings.get("boosted", {})),
     }
-    draws = {"forest": (key, FOREST_ROWS), "boosted": (key, FIT_ROWS)}
     trained = [
-        train_and_evaluate(name, make, data.train, data.test, fold, clip=WIDE_CLIP, draw=draws.get(name)) for name, make in makers.items()
+        train_and_evaluate(name, make, data.train, data.test, fold, clip=WIDE_CLIP) for name, make in makers.items()
     ]
     return trained, comparison_table(data.train, trained)
 
